@@ -40,7 +40,7 @@ def percent(a: Column, b: Column) -> Column:
 
 def money_sum(name: str) -> Column:
     """A sum that does not depend on the order of the rows."""
-    return F.sum(F.col(name).cast("decimal(18,2)")).cast("double")
+    return F.sum(F.col(name).cast("decimal(28,6)")).cast("double")
 
 
 def mentions(text: Column, phrases: Sequence[str]) -> Column:
@@ -74,7 +74,7 @@ def json_substring(text: Column) -> Column:
 
 def token_list(text: Column) -> Column:
     """Trimmed, non-empty tokens of a comma list; null stays null."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(text, ","), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def key_value_map(text: Column) -> Column:

@@ -73,6 +73,7 @@ SELECT l_partkey AS sku, CAST(l_orderkey % 14 + 1 AS INT) AS day, CAST(sum(l_qua
 FROM {lineitem} GROUP BY l_partkey, l_orderkey % 14 + 1""",
     "v_customer_json": """
 SELECT c_custkey AS customer_key, concat('{{"customer_id":"CUST', c_custkey, '","first_name":"', c_name,
+  '","last_name":"', c_mktsegment, '","email":"', c_custkey, '@example.org","date_of_birth":"1985-03-15',
   '","account_balance":"', CASE WHEN c_custkey % 15 = 0 THEN 'bad' ELSE CAST(c_custkey % 1000 AS VARCHAR(10)) END,
   '","created_at":"2024-01-15T10:30:00Z"}}') AS body
 FROM {customer}""",
