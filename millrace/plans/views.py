@@ -82,9 +82,12 @@ SELECT event_id AS diff_id,
   concat(CASE user_id % 4 WHEN 0 THEN 'app/' WHEN 1 THEN 'reviews/' WHEN 2 THEN 'lib/test_' ELSE 'src/' END,
     event_type, CASE WHEN user_id % 5 = 0 THEN '.md' ELSE '.py' END) AS filename,
   CASE WHEN event_id % 6 = 0 THEN '' ELSE concat('--- a/x', chr(10), '+++ b/x', chr(10), '@@ -', user_id + 1,
-    ',3 +', user_id + 2, ',4 @@', chr(10), ' import os', chr(10), '-y = 1', chr(10),
-    CASE event_id % 5 WHEN 0 THEN '+password = "abc"' WHEN 1 THEN '+API_KEY = "k"' WHEN 2 THEN '+z = eval(q)'
-      WHEN 3 THEN '+r = a / 0' ELSE '+ok = 1' END, chr(10), ' print(y)') END AS patch,
+    ',3 +', user_id + 2, ',4 @@', chr(10), CASE WHEN user_id % 3 = 0 THEN ' try:' ELSE ' import os' END, chr(10),
+    '-y = 1', chr(10),
+    CASE event_id % 8 WHEN 0 THEN '+password = "abc"' WHEN 1 THEN '+API_KEY = "k"' WHEN 2 THEN '+z = eval(q)'
+      WHEN 3 THEN '+r = a / 0' WHEN 4 THEN '+f = open(p)' WHEN 5 THEN '+q = "select " + x' WHEN 6 THEN '+def ab(c):'
+      ELSE '+ok = 1' END, chr(10), ' print(y)', CASE WHEN user_id % 2 = 0 THEN '' ELSE concat(chr(10), '@@ -',
+      user_id + 40, ' +', user_id + 41, ',2 @@', chr(10), ' x', chr(10), '+++ c', chr(10), '+token = "t"') END) END AS patch,
   CASE event_id % 7 WHEN 0 THEN 'not json' WHEN 1 THEN '[]' ELSE concat('```json', chr(10),
     '{{"security":[{{"description":"Hardcoded password","line":"', user_id + 3,
     '"}}],"quality":[{{"message":"can be improved","line_number":"1"}}]}}', chr(10), '```') END AS raw_response
@@ -95,7 +98,7 @@ SELECT event_id AS diff_id, user_id + 3 AS line,
   CASE event_id % 9 WHEN 0 THEN 'Division by zero possible' WHEN 1 THEN 'Consider using a constant'
     WHEN 2 THEN 'Hardcoded password in source' WHEN 3 THEN 'API key in source' WHEN 4 THEN 'Missing exception handling'
     WHEN 5 THEN 'Use of eval on input' WHEN 6 THEN 'No security issues found' WHEN 7 THEN 'Possible SQL injection'
-    ELSE 'Better readability wanted' END AS description
+    ELSE 'Variable name too short' END AS description
 FROM {events}""",
 }
 
