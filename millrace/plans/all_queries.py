@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.plans.registry import Registry
 
-MODULES = "quality profile reports tables ingest features evaluation reviews".split()
+MODULES = "quality profile reports features tables ingest reviews evaluation models jobs".split()
 
 REGISTRY = Registry()
 for _name in MODULES:
