@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -128,37 +129,37 @@ class FourierSvm:
 
 
 def fourier_features(df: DataFrame, features: Sequence[str], weights: np.ndarray, offsets: np.ndarray) -> DataFrame:
+    """sqrt(2/d) * cos(w·x + b) as one matrix product per Arrow batch: as columns, d times k terms exceed
+    what one generated method may hold."""
     scale = math.sqrt(2.0 / len(offsets))
 
-    def wave(w: np.ndarray, b: float) -> Column:
-        dot = sum((F.col(f).cast("double") * float(v) for f, v in zip(features, w, strict=True)), F.lit(float(b)))
-        return F.cos(dot) * scale
+    @F.pandas_udf("array<double>")
+    def waves(rows: pd.Series) -> pd.Series:
+        x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, weights.shape[1]))
+        return pd.Series(list(scale * np.cos(x @ weights.T + offsets)))
 
-    return df.withColumn("waves", array_to_vector(F.array(*[wave(w, b) for w, b in zip(weights, offsets, strict=True)])))
-
-
-def scale_gamma(df: DataFrame, features: Sequence[str]) -> float:
-    """1 / (features * variance of all feature values), from one pass of sums."""
-    cols = [F.col(f).cast("double") for f in features]
-    row = df.agg(
-        sum((F.sum(c) for c in cols), F.lit(0.0)).alias("s"),
-        sum((F.sum(c * c) for c in cols), F.lit(0.0)).alias("q"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    cells = row["n"] * len(features)
-    variance = row["q"] / cells - (row["s"] / cells) ** 2
-    return 1.0 / (len(features) * variance) if variance > 0 else 1.0
+    inputs = F.array(*[F.col(f).cast("double") for f in features])
+    return df.withColumn("waves", array_to_vector(waves(inputs)))
 
 
 def fit_rff_svm(
     df: DataFrame, features: Sequence[str], y: str, gamma: float | None = None, d: int = 64, reg: float = 1e-4,
     max_iter: int = 100,
 ) -> FourierSvm:
+    """``gamma`` applies to standardised features; without it, it is 1 / features (their variance is one).
+
+    Mean and deviation are folded into the frequencies and offsets, so scoring reads the raw columns.
+    """
     clean = as_doubles(df, features).dropna(subset=[*features, y])
-    gamma = scale_gamma(clean, features) if gamma is None else gamma
+    stats = [F.avg(f).alias(f"m{i}") for i, f in enumerate(features)]
+    stats += [F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]
+    row = clean.agg(*stats).first()
+    mean = np.array([row[f"m{i}"] for i in range(len(features))])
+    width = np.array([row[f"s{i}"] or 1.0 for i in range(len(features))])
+    gamma = 1.0 / len(features) if gamma is None else gamma
     rng = np.random.default_rng(SEED)
-    weights = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, len(features)))
-    offsets = rng.uniform(0.0, 2.0 * math.pi, d)
+    weights = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, len(features))) / width
+    offsets = rng.uniform(0.0, 2.0 * math.pi, d) - weights @ mean
     waves = fourier_features(clean, features, weights, offsets)
     model = Pipeline(stages=_margin_stages("waves", y, reg, max_iter)).fit(waves)
     return FourierSvm(tuple(features), weights, offsets, model)

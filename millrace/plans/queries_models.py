@@ -120,7 +120,7 @@ def register(r: Registry) -> None:
     r.add("credit_models", "ML2,ML3,ML14", credit_models)
     r.add("forest_metrics", "ML3", vital_fit(md.fit_forest, "random_forest", trees=20, depth=5))
     r.add("svm_metrics", "ML4", vital_fit(md.fit_svm, "linear_svm", max_iter=20))
-    r.add("fourier_svm_metrics", "ML5", vital_fit(md.fit_rff_svm, "fourier_svm", d=32, gamma=1e-4, max_iter=20))
+    r.add("fourier_svm_metrics", "ML5", vital_fit(md.fit_rff_svm, "fourier_svm", d=64, max_iter=20))
     r.add("tree_importances", "ML6", tree_table)
     r.add("grid_tree", "ML7", grid_table)
     r.add("ols_single", "ML15", single_feature,
