@@ -72,6 +72,12 @@ def json_substring(text: Column) -> Column:
     return F.when(found == "", F.lit("{}")).otherwise(found)
 
 
+def unpack_json(df: DataFrame, text: Column, schema: str | T.StructType) -> DataFrame:
+    """Adds the fields of a JSON text. The generator parses every row once: as plain columns, a filter on a
+    field would be pushed below the projection with its own copy of the parse."""
+    return df.select("*", F.inline_outer(F.array(F.from_json(text, schema))))
+
+
 def token_list(text: Column) -> Column:
     """Trimmed, non-empty tokens of a comma list; null stays null."""
     return F.filter(F.transform(F.split(text, ","), lambda t: F.trim(t)), lambda t: t != "")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import all_of
 from millrace.functions.hashing import hash32
+from millrace.session import settle
 
 SKETCH_ACCURACY = 20_000
 BRACKET = 3e-4  # half width in rank share; six times the sketch error of 1 / SKETCH_ACCURACY
@@ -47,8 +48,9 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles of a double column per group, with optional further aggregates of the same pass.
 
-    Nulls and NaN are left out. ``few_groups`` states that the caller has bounded the number of groups, so
-    the sketch table may be broadcast; otherwise Spark picks the join.
+    Nulls and NaN are left out. ``few_groups`` states that the groups are column names, so the sketch table
+    is bounded by the schema and may be broadcast. Otherwise it is written first: Spark then plans the join
+    from its measured size instead of an estimate that would shuffle all values.
     """
     by = list(by)
     extra = extra or {}
@@ -82,8 +84,8 @@ def quantiles(
     )
     rows = clean.select(*by, F.col(value).alias("v"))
     if by:
-        side = F.broadcast(sketch) if few_groups else sketch
-        joined = rows.join(side, null_safe(rows, sketch, [(c, f"k_{c}") for c in by]))
+        sketch = F.broadcast(sketch) if few_groups else settle(sketch, "sketch")
+        joined = rows.join(sketch, null_safe(rows, sketch, [(c, f"k_{c}") for c in by]))
     else:
         one = sketch.select(F.struct(*sketch.columns)).scalar()
         joined = rows.select("v", F.inline(F.array(one)))
@@ -153,6 +155,7 @@ def mark_by_hash(
     tagged = df.withColumn("hash_", hash32(seed, key)).withColumn("slot_", F.shiftright("hash_", 32 - SLOT_BITS))
     edges = _quota_edges(tagged, by, quota)
     if by:
+        edges = settle(edges, "edges")  # one row per group: the join is planned from its measured size
         placed = tagged.join(edges, null_safe(tagged, edges, [(c, f"k_{c}") for c in by]))
     else:
         placed = tagged.select("*", F.inline(F.array(edges.select(F.struct(*edges.columns)).scalar())))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import unpack_json
+
 # Days per sales row, SKU length, page limits, customer record
 SALES_DAYS = 14
 SKU_LENGTH = 13
@@ -75,7 +77,7 @@ def rejected(df: DataFrame) -> DataFrame:
 
 def parse_customers(df: DataFrame, body: str = "body") -> DataFrame:
     """JSON text to the untyped customer columns; the text itself stays for the quarantine."""
-    return df.select("*", F.from_json(body, CUSTOMER_TEXT).alias("r_")).select(*df.columns, "r_.*")
+    return unpack_json(df, F.col(body), CUSTOMER_TEXT)
 
 
 def typed_customers(df: DataFrame) -> DataFrame:

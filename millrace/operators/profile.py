@@ -12,7 +12,6 @@ from millrace.functions.expressions import missing, percent, ratio, sample_kurto
 from millrace.functions.order_stats import long_values, quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-CLASS_BOUND = 1000
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -64,10 +63,9 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
 
 
 def describe_by(df: DataFrame, cols: Sequence[str], y: str, approx: bool = False) -> DataFrame:
-    """Count, mean and quartiles per class and column. The sketch is broadcast only for few classes."""
-    few = df.select(y).distinct().limit(CLASS_BOUND + 1).count() <= CLASS_BOUND
+    """Count, mean and quartiles per class and column; the number of classes is not bounded."""
     long = long_values(df, cols, [y])
-    return quantiles(long, [y, "column"], "value", QUARTILES, {"mean": F.avg("value")}, approx, few_groups=few)
+    return quantiles(long, [y, "column"], "value", QUARTILES, {"mean": F.avg("value")}, approx)
 
 
 def shape_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import unpack_json
+
 ENVELOPE = "data array<string>, total bigint, page bigint, limit bigint"
 
 
@@ -15,7 +17,7 @@ def plan_pages(total: Column, limit: Column) -> Column:
 
 def explode_pages(df: DataFrame, body: str = "body") -> DataFrame:
     """Envelope texts to (page, record text), up to the first page that is empty or reaches the total."""
-    pages = df.select(F.from_json(body, ENVELOPE).alias("e")).select("e.*")
+    pages = unpack_json(df.select(F.col(body).alias("body_")), F.col("body_"), ENVELOPE)
     last = F.coalesce(F.size("data") == 0, F.lit(True)) | (F.col("page") * F.col("limit") >= F.col("total"))
     stop = pages.agg(F.min(F.when(last, F.col("page"))).alias("p")).scalar()
     read = pages.filter(F.coalesce(F.col("page") <= stop, F.lit(True)))

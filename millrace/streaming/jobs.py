@@ -5,20 +5,21 @@ Each run takes what has arrived (``availableNow``) and stops; the checkpoint mak
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from collections.abc import Sequence
-
+from millrace.functions.expressions import unpack_json
 from millrace.operators import ingest as ing
 from millrace.operators import review as rv
 from millrace.operators.metrics import band_of
 from millrace.operators.models import with_probability
 from millrace.operators.quality import align_features
 from millrace.sources.feeds import ENVELOPE
-from millrace.sources.tables import read_latest, full_refresh, version_path, versions
+from millrace.sources.tables import full_refresh, read_latest, version_path, versions
 
 EVENTS = "diff_id bigint, payload string, files string"
 
@@ -32,10 +33,7 @@ def review_stream(events: DataFrame) -> DataFrame:
     """Webhook events to secret findings of the changed files in scope. Row-wise, so it keeps no state and
     shuffles nothing; each file of an event is its own diff."""
     files = rv.changed_files(rv.pr_events(events).select("diff_id", "login", "files"))
-    inputs = rv.review_inputs(files)
-    diffs = inputs.select(F.struct("diff_id", "diff_name", "login").alias("diff_id"), "patch")
-    found = rv.scan_secrets(diffs)
-    return found.select("diff_id.*", *[c for c in found.columns if c != "diff_id"])
+    return rv.scan_secrets(rv.review_inputs(files), keep=["diff_id", "diff_name", "login"])
 
 
 def stream_reviews(spark: SparkSession, source: str, out: str, checkpoint: str, files_per_batch: int = 1000) -> DataFrame:
@@ -46,7 +44,7 @@ def stream_reviews(spark: SparkSession, source: str, out: str, checkpoint: str,
 
 def customer_batch(pages: DataFrame) -> DataFrame:
     """Typed good customers of a set of page envelopes, last page wins."""
-    read = pages.select(F.from_json("value", ENVELOPE).alias("e")).select("e.page", F.explode("e.data").alias("record"))
+    read = unpack_json(pages, F.col("value"), ENVELOPE).select("page", F.explode("data").alias("record"))
     names = [f.name for f in ing.CUSTOMER_TEXT.fields]
     good = ing.accepted(ing.typed_customers(ing.parse_customers(read, "record")))
     return ing.latest(good.select("page", *names), ["customer_id"], ["page"])
