@@ -82,27 +82,27 @@ def quantiles(
         *[c.alias(f"lo{i}") for i, c in enumerate(lows)],
         *[c.alias(f"hi{i}") for i, c in enumerate(highs)],
     )
-    rows = clean.select(*by, F.col(value).alias("v"))
+    rows = clean.select(*by, F.col(value).alias("value_"))
     if by:
         sketch = F.broadcast(sketch) if few_groups else settle(sketch, "sketch")
         joined = rows.join(sketch, null_safe(rows, sketch, [(c, f"k_{c}") for c in by]))
     else:
         one = sketch.select(F.struct(*sketch.columns)).scalar()
-        joined = rows.select("v", F.inline(F.array(one)))
+        joined = rows.select("value_", F.inline(F.array(one)))
     inside = F.lit(False)
     for i in range(len(ps)):
-        inside = inside | F.col("v").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
-    passed = [F.when(F.col(f"hi{i}") < F.col("v"), F.col(f"hi{i}")) for i in range(len(ps))]
-    anchor = F.when(inside, F.col("v")).otherwise(F.greatest(*passed, F.lit(None).cast("double")))
-    # Values outside every bracket fold into one "gap" row behind the last bracket they passed.
-    folded = joined.groupBy(*by, anchor.alias("anchor"), (~inside).alias("gap")).agg(
-        F.count("v").alias("rows"), *[F.max(c).alias(c) for c in carried]
+        inside = inside | F.col("value_").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
+    passed = [F.when(F.col(f"hi{i}") < F.col("value_"), F.col(f"hi{i}")) for i in range(len(ps))]
+    anchor = F.when(inside, F.col("value_")).otherwise(F.greatest(*passed, F.lit(None).cast("double")))
+    # Values outside every bracket fold into one "gap_" row behind the last bracket they passed.
+    folded = joined.groupBy(*by, anchor.alias("anchor_"), (~inside).alias("gap_")).agg(
+        F.count("value_").alias("rows_"), *[F.max(c).alias(c) for c in carried]
     )
-    order = Window.partitionBy(*by).orderBy(F.col("anchor").asc_nulls_first(), "gap")
-    ranked = folded.withColumn("reached", F.sum("rows").over(order))
+    order = Window.partitionBy(*by).orderBy(F.col("anchor_").asc_nulls_first(), "gap_")
+    ranked = folded.withColumn("reached_", F.sum("rows_").over(order))
 
     def at(position: Column) -> Column:
-        return F.min(F.when(F.col("reached") > position, F.struct("anchor", "gap")))
+        return F.min(F.when(F.col("reached_") > position, F.struct("anchor_", "gap_")))
 
     picks = []
     for i, p in enumerate(ps):
@@ -112,7 +112,7 @@ def quantiles(
 
     def checked(name: str) -> Column:
         broken = F.raise_error(F.lit("a quantile fell outside its sketch bracket")).cast("double")
-        return F.when(F.col(f"{name}.gap"), broken).otherwise(F.col(f"{name}.anchor"))
+        return F.when(F.col(f"{name}.gap_"), broken).otherwise(F.col(f"{name}.anchor_"))
 
     outs = []
     for i, (name, p) in enumerate(zip(names, ps, strict=True)):

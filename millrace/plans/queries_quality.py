@@ -230,9 +230,9 @@ def register(r: Registry) -> None:
         "stratified_sample",
         "W1",
         lambda t: s.stratified_sample(fl.calendar(t.trips, "pickup_datetime"), ["date", "hour"], ["trip_id"]).select(
-            "trip_id", "date", "hour"
+            "trip_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "hour"
         ),
-        f"""SELECT trip_id, date, hour FROM (SELECT trip_id, date, hour, count(*) OVER (PARTITION BY date, hour) AS n,
+        f"""SELECT trip_id, strftime(date, '%Y-%m-%d') AS date, hour FROM (SELECT trip_id, date, hour, count(*) OVER (PARTITION BY date, hour) AS n,
         row_number() OVER (PARTITION BY date, hour ORDER BY h, trip_id) AS rn FROM (SELECT trip_id,
         CAST(pickup_datetime AS DATE) AS date, CAST(hour(pickup_datetime) AS INT) AS hour, {hash_sql("trip_id")} AS h
         FROM v_trips)) WHERE rn <= greatest(1, floor(n * 0.05e0))""",
