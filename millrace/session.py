@@ -34,16 +34,15 @@ def new_session(master: str | None = None, partitions: int | None = None) -> Spa
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder, and the choice is kept for the session.
+    Only a local master may fall back to a temporary folder, which the session then keeps.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
