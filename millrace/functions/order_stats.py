@@ -22,9 +22,10 @@ from millrace.session import settle
 SKETCH_ACCURACY = 20_000
 BRACKET = 3e-4  # half width in rank share; six times the sketch error of 1 / SKETCH_ACCURACY
 SMALL_GROUP = 20_000  # up to here the bracket is the whole value range
+WIDE_GROUP = 1_000_000_000  # beyond, a group's brackets are ranked in ranges
 SLOT_BITS = 10
-SPLITTERS = 256
-COARSE = 16
+FAN = 10
+SPLITTERS = FAN**3
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -37,6 +38,20 @@ def long_values(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), as
     return cast.unpivot(list(keep), list(cols), "column", "value")
 
 
+def _reached(folded: DataFrame, by: Sequence[str], wide: bool) -> DataFrame:
+    """Adds ``reached_``: rows of the group up to and including this value."""
+    if not wide:
+        order = Window.partitionBy(*by).orderBy(F.col("anchor_").asc_nulls_first(), "gap_")
+        return folded.withColumn("reached_", F.sum("rows_").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = settle(running_totals(folded, [*by, "anchor_", "gap_"], {"all_": F.col("rows_")}), "reached")
+    before = F.min(F.col("all_") - F.col("rows_")).alias("before_")
+    if not by:
+        return ranked.withColumn("reached_", F.col("all_") - ranked.agg(before).scalar())
+    starts = ranked.groupBy(*[F.col(c).alias(f"g_{c}") for c in by]).agg(before)
+    joined = ranked.join(starts, null_safe(ranked, starts, [(c, f"g_{c}") for c in by]))
+    return joined.withColumn("reached_", F.col("all_") - F.col("before_"))
+
+
 def quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -48,9 +63,12 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles of a double column per group, with optional further aggregates of the same pass.
 
-    Nulls and NaN are left out. ``few_groups`` states that the groups are column names, so the sketch table
-    is bounded by the schema and may be broadcast. Otherwise it is written first: Spark then plans the join
-    from its measured size instead of an estimate that would shuffle all values.
+    Nulls and NaN are left out. The sketch table is written first: Spark then plans its join from the
+    measured size instead of an estimate that would shuffle all values. ``few_groups`` states that the
+    groups are column names, so the table is bounded by the schema and is broadcast in any case.
+
+    What remains inside the brackets is about k * 2 * BRACKET of a group. Up to WIDE_GROUP values that is
+    ranked in one task per group; beyond, by ``running_totals`` in many ranges.
     """
     by = list(by)
     extra = extra or {}
@@ -82,13 +100,14 @@ def quantiles(
         *[c.alias(f"lo{i}") for i, c in enumerate(lows)],
         *[c.alias(f"hi{i}") for i, c in enumerate(highs)],
     )
+    sketch = settle(sketch, "sketch")
+    wide = (sketch.agg(F.max("n")).first()[0] or 0) > WIDE_GROUP
     rows = clean.select(*by, F.col(value).alias("value_"))
     if by:
-        sketch = F.broadcast(sketch) if few_groups else settle(sketch, "sketch")
-        joined = rows.join(sketch, null_safe(rows, sketch, [(c, f"k_{c}") for c in by]))
+        side = F.broadcast(sketch) if few_groups else sketch
+        joined = rows.join(side, null_safe(rows, sketch, [(c, f"k_{c}") for c in by]))
     else:
-        one = sketch.select(F.struct(*sketch.columns)).scalar()
-        joined = rows.select("value_", F.inline(F.array(one)))
+        joined = rows.select("value_", F.inline(F.array(sketch.select(F.struct(*sketch.columns)).scalar())))
     inside = F.lit(False)
     for i in range(len(ps)):
         inside = inside | F.col("value_").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
@@ -98,8 +117,7 @@ def quantiles(
     folded = joined.groupBy(*by, anchor.alias("anchor_"), (~inside).alias("gap_")).agg(
         F.count("value_").alias("rows_"), *[F.max(c).alias(c) for c in carried]
     )
-    order = Window.partitionBy(*by).orderBy(F.col("anchor_").asc_nulls_first(), "gap_")
-    ranked = folded.withColumn("reached_", F.sum("rows_").over(order))
+    ranked = _reached(folded, by, wide)
 
     def at(position: Column) -> Column:
         return F.min(F.when(F.col("reached_") > position, F.struct("anchor_", "gap_")))
@@ -176,23 +194,44 @@ def take_by_hash(
     return mark_by_hash(df, quota, key, by, seed, "taken_").filter("taken_").drop("taken_")
 
 
+def _with_range(df: DataFrame, keys: list[str], key_type: str) -> DataFrame:
+    """Adds ``part_``: how many splitters (JSON texts, ascending) lie below ``key_``.
+
+    The search goes down three levels of FAN splitters each. The levels are literals of the plan, so no row
+    carries them, and each level is a column of its own, so it is looked up once.
+    """
+
+    def literal(groups: list[list[str]]) -> Column:
+        text = "[" + ",".join(f"[{','.join(g)}]" for g in groups) + "]"
+        return F.from_json(F.lit(text), f"array<array<{key_type}>>")
+
+    out = df.withColumn("place_", F.lit(1))
+    for step in (FAN * FAN, FAN, 1):
+        width = step * FAN
+        groups = [keys[i : i + width : step] for i in range(0, len(keys), width)]
+        place = F.greatest(F.col("place_"), F.lit(1))
+        below = F.size(F.filter(F.element_at(literal(groups), place), lambda s: s["key_"] < F.col("key_")))
+        out = out.withColumn("below_", below)
+        out = out.withColumn("place_", F.when(F.col("place_") == 0, 0).otherwise((place - 1) * FAN + F.col("below_")))
+    return out.withColumn("part_", F.col("place_")).drop("place_", "below_")
+
+
 def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """Adds inclusive running sums over the whole frame in ascending ``order``, whose values are unique."""
+    """Adds inclusive running sums over the whole frame in ascending ``order``.
+
+    The order columns are numbers or strings and identify a row. The frame is written once, since the
+    splitters, the range totals and the result all read it.
+    """
     order = list(order)
-    keyed = df.withColumn("key_", F.struct(*order))
-    sample = keyed.select("key_").orderBy(F.xxhash64("key_"), "key_").limit(SPLITTERS)
-    splitters = F.col("splitters_")
-    found = sample.agg(F.array_sort(F.collect_list("key_")).alias("s")).scalar()
-    keyed = keyed.select("*", F.explode(F.array(found)).alias("splitters_"))
-    coarse = F.filter(splitters, lambda _, i: i % COARSE == 0)
-    block = F.size(F.filter(coarse, lambda s: s < F.col("key_")))
-    fine = F.slice(splitters, (block - 1) * COARSE + 1, F.lit(COARSE))
-    part = F.when(block == 0, F.lit(0)).otherwise(
-        (block - 1) * COARSE + F.size(F.filter(fine, lambda s: s < F.col("key_")))
-    )
-    placed = keyed.withColumn("part_", part)
-    for name, value in sums.items():
-        placed = placed.withColumn(f"in_{name}", value)
+    keyed = settle(df.withColumns({f"in_{name}": value for name, value in sums.items()}), "ranked")
+    keyed = keyed.withColumn("key_", F.col(order[0]) if len(order) == 1 else F.struct(*order))
+    usable = keyed.select("key_").filter(F.col("key_").isNotNull())  # a null sorts first, into the first range
+    sample = usable.orderBy(F.xxhash64("key_"), "key_").limit(SPLITTERS)
+    texts = sample.orderBy("key_").select(F.to_json(F.struct("key_")).alias("k"))
+    keys = [r["k"] for r in texts.collect()]  # at most SPLITTERS
+    if not keys:  # at most one row, with a null key
+        return keyed.select(*df.columns, *[F.col(f"in_{name}").alias(name) for name in sums])
+    placed = _with_range(keyed, keys, f"struct<key_:{keyed.schema['key_'].dataType.simpleString()}>")
     totals = placed.groupBy(F.col("part_").alias("p_")).agg(*[F.sum(f"in_{n}").alias(f"t_{n}") for n in sums])
     earlier = Window.orderBy("p_").rowsBetween(Window.unboundedPreceding, -1)  # at most SPLITTERS + 1 rows
     shifts = totals.select(

@@ -29,7 +29,9 @@ def test_quantiles_equal_numpy(spark, size):
     assert np.allclose([got[c] for c in "abcde"], want, rtol=0, atol=1e-12)
 
 
-def test_quantiles_of_large_skewed_groups_use_brackets(spark):
+@pytest.mark.parametrize("wide", [1_000_000_000, 0])
+def test_quantiles_of_large_skewed_groups_use_brackets(spark, monkeypatch, wide):
+    monkeypatch.setattr(os_, "WIDE_GROUP", wide)
     # one value holds a third of the rows, groups exceed SMALL_GROUP so the sketch brackets are used
     base = spark.range(90_000).selectExpr(
         "CASE WHEN id % 2 = 0 THEN 'x' END AS g", "CASE WHEN id % 3 = 0 THEN 5.0D ELSE (id * 7919 % 100003) / 10.0D END AS v"
@@ -42,6 +44,31 @@ def test_quantiles_of_large_skewed_groups_use_brackets(spark):
         assert np.allclose(got[name], np.quantile(part.v, [0.25, 0.5, 0.75]), atol=1e-9)
 
 
+def test_wide_group_without_keys(spark, monkeypatch):
+    monkeypatch.setattr(os_, "WIDE_GROUP", 0)
+    df = spark.range(30_001).selectExpr("CAST(id * 3 AS DOUBLE) AS v")
+    assert os_.quantiles(df, [], "v", {"m": 0.5, "q": 0.25}).first()[1:] == (45_000.0, 22_500.0)
+
+
+def test_running_totals_over_mixed_keys(spark, monkeypatch):
+    monkeypatch.setattr(os_, "FAN", 2)
+    monkeypatch.setattr(os_, "SPLITTERS", 8)
+    rows = [(c, v) for c in (None, "a", 'q"\\u00e9', "b") for v in (None, -1.5, 0.0, 1e300, float("nan"), 2.25)]
+    df = spark.createDataFrame(rows, "c string, v double")
+    got = {(r["c"], repr(r["v"])): r["k"] for r in os_.running_totals(df, ["c", "v"], {"k": F.lit(1)}).collect()}
+    want = [(r["c"], repr(r["v"])) for r in df.orderBy("c", "v").collect()]
+    assert got == {key: i for i, key in enumerate(want, 1)}
+
+
+@pytest.mark.parametrize("values", [[None], [None, 3.0, float("nan"), -1.0, 2.0, 0.5], list(map(float, range(30))) + [None]])
+def test_running_totals_with_a_null_key(spark, monkeypatch, values):
+    monkeypatch.setattr(os_, "FAN", 2)
+    monkeypatch.setattr(os_, "SPLITTERS", 8)
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {repr(r["v"]): r["k"] for r in os_.running_totals(df, ["v"], {"k": F.lit(1)}).collect()}
+    assert got == {repr(r["v"]): i for i, r in enumerate(df.orderBy("v").collect(), 1)}
+
+
 def test_approximate_quantiles_are_near(spark):
     df = spark.range(10_001).selectExpr("CAST(id AS DOUBLE) AS v")
     got = os_.quantiles(df, [], "v", {"m": 0.5}, approx=True).first()["m"]
