@@ -57,14 +57,15 @@ def sales_numbers(text: Column) -> Column:
 
 def validate_changes(df: DataFrame) -> DataFrame:
     """Adds ``quantities`` and the ``reason`` of a rejection (null: accepted) to (sku, sales_text)."""
-    numbers = sales_numbers(F.coalesce("sales_text", F.lit("")))
-    whole = F.transform(numbers, lambda t: t.try_cast("int"))
+    split = df.withColumn("numbers_", sales_numbers(F.coalesce("sales_text", F.lit(""))))
+    parsed = split.withColumn("whole_", F.transform("numbers_", lambda t: t.try_cast("int")))
     reason = (
         F.when(F.coalesce(F.length(F.trim("sku")), F.lit(0)) != SKU_LENGTH, "sku length")
-        .when(F.size(numbers) != SALES_DAYS, "sales count")
-        .when(F.exists(whole, lambda v: v.isNull()), "not a whole number")
+        .when(F.size("numbers_") != SALES_DAYS, "sales count")
+        .when(F.exists("whole_", lambda v: v.isNull()), "not a whole number")
     )
-    return df.select("*", F.when(reason.isNull(), whole).alias("quantities"), reason.alias("reason"))
+    judged = parsed.withColumn("reason", reason)
+    return judged.select(*df.columns, F.when(F.col("reason").isNull(), F.col("whole_")).alias("quantities"), "reason")
 
 
 def accepted(df: DataFrame) -> DataFrame:

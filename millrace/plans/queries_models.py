@@ -11,6 +11,7 @@ from millrace.operators import quality as q
 from millrace.operators import sampling as s
 from millrace.operators.filters import health_units
 from millrace.plans.queries_profile import rounded
+from millrace.plans.queries_quality import hash_sql
 from millrace.plans.registry import Registry
 from millrace.plans.views import Tables
 from millrace.session import fresh_dir, settle
@@ -90,6 +91,43 @@ def path_table(kind: str):
     return run
 
 
+def single_path(kind: str, alphas: list[float]):
+    """The broad stage of a path over one feature, which has a closed form."""
+
+    def run(t: Tables) -> DataFrame:
+        train, test = line_sets(t)
+        found = md.regression_path(train, test, ["price"], "y", ["l_orderkey"], kind, alphas=alphas)
+        table = found.table.filter("stage = 'broad'").select("alpha", "train_r2", "test_r2")
+        return rounded(table, ["train_r2", "test_r2"])
+
+    return run
+
+
+ORDERS = f"""o AS (SELECT l_orderkey, avg(l_extendedprice) AS x, avg(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS y
+FROM lineitem GROUP BY l_orderkey), m AS (SELECT *, {hash_sql("l_orderkey")} < CAST(floor(0.2e0 * 4294967296) AS BIGINT) AS t,
+{hash_sql("l_orderkey")} % 5 AS fold FROM o)"""
+WEIGHTS = {"ridge": "n * c / (n + alpha)", "lasso": "sign(c) * greatest(abs(c) - alpha, 0)"}
+
+
+def single_sql(kind: str, alphas: list[float]) -> str:
+    return f"""WITH {ORDERS}, k AS (SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, var_pop(y) AS vy,
+    covar_pop(x, y) / stddev_pop(x) AS c, CAST(count(*) AS DOUBLE) AS n FROM m WHERE NOT t),
+    w AS (SELECT *, {WEIGHTS[kind]} AS w FROM k, (SELECT unnest([{", ".join(f"{a!r}e0" for a in alphas)}]) AS alpha))
+    SELECT alpha, round((2 * w * c - w * w) / vy, 6) AS train_r2, round(1 - avg((y - my - w * (x - mx) / sx) *
+    (y - my - w * (x - mx) / sx)) / var_pop(y), 6) AS test_r2 FROM m, w WHERE t GROUP BY alpha, w, c, vy"""
+
+
+def single_mae(t: Tables) -> DataFrame:
+    train, _ = line_sets(t)
+    return rounded(md.cv_mae(train, ["price"], "y", ["l_orderkey"], 1000.0), ["mae"], 4)
+
+
+MAE_SQL = f"""WITH {ORDERS}, f AS (SELECT k, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) /
+(var_pop(x) * count(*) + 1000e0) AS w FROM m, (SELECT unnest(range(5)) AS k) WHERE NOT t AND fold <> k GROUP BY k)
+SELECT count(*) AS folds, round(avg(mae), 4) AS mae FROM (SELECT k, avg(abs(y - my - w * (x - mx))) AS mae FROM m JOIN f
+ON fold = k WHERE NOT t GROUP BY k)"""
+
+
 def eliminated(t: Tables) -> DataFrame:
     train, test = line_sets(t)
     found = md.lasso_path(train, test, LINE, "y", ["l_orderkey"], alphas=[1e6, 2e6])
@@ -130,5 +168,8 @@ def register(r: Registry) -> None:
     r.add("lasso_path", "ML17", path_table("lasso"))
     r.add("lasso_eliminated", "ML17,ML20", eliminated,
           "SELECT unnest(['price', 'l_discount', 'l_tax', 'l_quantity']) AS feature FROM (SELECT count(*) FROM lineitem)")
+    for kind, alphas in [("ridge", [0.001, 1.0, 1000.0]), ("lasso", [0.0001, 100.0, 10000.0])]:
+        r.add(f"{kind}_single", "ML16" if kind == "ridge" else "ML17", single_path(kind, alphas), single_sql(kind, alphas))
     r.add("cv_mae", "ML18", mae_table)
+    r.add("cv_mae_single", "ML18", single_mae, MAE_SQL)
     r.add("model_round_trip", "ML22", saved_model)
