@@ -8,10 +8,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.texts import slices
+from millrace.llm.texts import mix, powers, slices
 from millrace.session import settle
 
 SAMPLE_DOCS = 2_000
@@ -37,15 +38,13 @@ class Model:
                     for at in range(len(padded) - width + 1):
                         grams[width - 1][lang][padded[at : at + width]] += n
         self.words, self.word_scores, _ = self._table(counts)
-        self.grams: dict[str, int] = {}
-        tables = []
+        #: For each width, the hashes of its n-grams, their scores, and the scores where no width is known.
+        self.grams = []
         for width, (keys, scores, none) in enumerate(map(self._table, grams), 1):
-            self.grams |= {k: i + len(self.grams) for k, i in keys.items()}
-            tables.append(scores + BACKOFF * (LONGEST_GRAM - width))
+            points, first = code_points(list(keys), "")
+            self.grams.append((gram_hashes(points, width)[first[:-1]] if keys else np.zeros(0, np.uint64), scores + BACKOFF * (LONGEST_GRAM - width)))
             if width == 1:
-                last = none + BACKOFF * LONGEST_GRAM
-        self.none = len(self.grams)
-        self.gram_scores = np.vstack([*tables, last]).astype(np.float32)
+                self.none = none + BACKOFF * LONGEST_GRAM
 
     def _table(self, counts: dict[str, Counter]) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
         """Place of each key, its smoothed log frequencies, and those of a key that no language has."""
@@ -57,47 +56,71 @@ class Model:
         norm = np.log(seen.sum(0) + SMOOTH * (len(keys) + 1))
         return keys, (np.log(seen + SMOOTH) - norm).astype(np.float32), math.log(SMOOTH) - norm
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the word's positions of the longest known n-gram there, one backoff weight per shortening."""
-        padded, grams, rows = f" {word} ", self.grams, []
-        for at in range(len(padded)):
-            for width in range(min(LONGEST_GRAM, len(padded) - at), 0, -1):
-                if (row := grams.get(padded[at : at + width])) is not None:
-                    rows.append(row)
-                    break
-            else:
-                rows.append(self.none)
-        return self.gram_scores[rows].mean(0)
+    def index(self) -> list[tuple[pd.Index, np.ndarray]]:
+        return [(pd.Index(hashes), scores) for hashes, scores in self.grams]
 
 
-class Scorer(dict):
-    """Word to row of ``table``; unseen words are scored once and kept, up to CACHE_WORDS of them."""
+def code_points(words: list[str], around: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words in a row, each between ``around``, and where each begins (one more than words)."""
+    text = "".join(f"{around}{w}{around}" for w in words)
+    sizes = np.array([len(w) for w in words], np.int64) + 2 * len(around)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def gram_hashes(points: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` code points from each place on; the last places wrap and are not to be used."""
+    steps = powers(width)
+    total = np.zeros(len(points), np.uint64)
+    for k in range(width):
+        total += np.roll(points, -k) * steps[k]
+    return mix(total)
+
+
+def unseen(words: list[str], index: list[tuple[pd.Index, np.ndarray]], none: np.ndarray) -> np.ndarray:
+    """For each word, the mean over its places of the longest known n-gram there, one backoff weight per shortening."""
+    points, first = code_points(words, " ")
+    left = np.repeat(first[1:], np.diff(first)) - np.arange(len(points))
+    scores = np.tile(none, (len(points), 1))
+    open_at = np.arange(len(points))
+    for width in range(len(index), 0, -1):
+        fits = open_at[left[open_at] >= width]
+        keys, table = index[width - 1]
+        rows = keys.get_indexer(gram_hashes(points, width)[fits])
+        scores[fits[rows >= 0]] = table[rows[rows >= 0]]
+        open_at = np.setdiff1d(open_at, fits[rows >= 0], assume_unique=True)
+    return np.add.reduceat(scores, first[:-1]) / np.diff(first)[:, None]
+
+
+class Scorer:
+    """Scores texts with a model; unseen words are scored once per batch of texts and kept, up to CACHE_WORDS."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__(model.words)
-        self.model, self.known = model, len(model.words)
-        self.table = np.concatenate([model.word_scores, np.zeros((CACHE_WORDS, len(model.languages)), np.float32)])
-
-    def __missing__(self, word: str) -> int:
-        self[word] = at = len(self)
-        self.table[at] = self.model.unseen(word)
-        return at
-
-    def trim(self) -> None:
-        if len(self) > self.known + CACHE_WORDS // 2:
-            self.clear()
-            self.update(self.model.words)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall((text or "").lower())
-        if not self.model.languages or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.model.languages))
-        for begin in range(0, len(words), CACHE_WORDS // 2):
-            self.trim()
-            total += self.table[[self[w] for w in words[begin : begin + CACHE_WORDS // 2]]].sum(0, dtype=np.float64)
-        best = int(total.argmax())
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        self.model, self.index = model, model.index()
+        self.rows, self.table = dict(model.words), model.word_scores
+
+    def learn(self, words: list[str]) -> None:
+        if new := list({w for w in words if w not in self.rows}):
+            if len(self.rows) > len(self.model.words) + CACHE_WORDS:
+                self.rows, self.table = dict(self.model.words), self.model.word_scores
+                new = list({w for w in words if w not in self.rows})
+            self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new))))
+            self.table = np.concatenate([self.table, unseen(new, self.index, self.model.none).astype(np.float32)])
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = [WORD.findall((t or "").lower()) for t in texts]
+        lettered = [any(c.isalpha() for w in words for c in w) for words in found]
+        if not self.model.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        flat = [w for words in found for w in words]
+        self.learn(flat)
+        sizes = np.array([len(words) for words in found])
+        running = np.zeros((len(flat) + 1, len(self.model.languages)))
+        np.cumsum(self.table[[self.rows[w] for w in flat]], axis=0, dtype=np.float64, out=running[1:]) if flat else None
+        ends = np.cumsum(sizes)
+        total = running[ends] - running[ends - sizes]
+        best = total.argmax(1)
+        share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+        return [(self.model.languages[b], float(s)) if ok else (UNKNOWN, 0.0) for b, s, ok in zip(best, share, lettered)]
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS, words_per_language: int = WORDS_PER_LANGUAGE) -> Model:
@@ -150,7 +173,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for part in slices(batches, text_col):
-            found = [scorer.predict(text) for text in part[text_col].to_pylist()]
+            found = scorer.predict(part[text_col].to_pylist())
             columns = [*part.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "lang_pred", "score"])
 

@@ -116,9 +116,26 @@ def test_language_odd_rows(spark, frame):
     assert language.identify_held_out(docs.limit(0)).count() == 0
 
 
-def test_backoff_shortens():
+def test_backoff_against_a_plain_loop():
     from collections import Counter
 
-    model = language.Model({"a": Counter({"abcde": 3}), "b": Counter({"xyz": 3})})
-    assert model.unseen("abcd")[0] > model.unseen("abcd")[1]
-    assert model.unseen("qq")[0] < model.unseen("abcd")[0]
+    counts = {"a": Counter({"abcde": 3, "été": 1}), "b": Counter({"xyz": 3, "abx": 2})}
+    model = language.Model(counts)
+    plain = []
+    for width in range(1, 6):
+        grams = {lang: Counter() for lang in counts}
+        for lang, c in counts.items():
+            for word, n in c.items():
+                for at in range(len(word) + 3 - width):
+                    grams[lang][f" {word} "[at : at + width]] += n
+        plain.append(model._table(grams))
+    for word in ["abcd", "qq", "é", "abxyzabcde", "漢"]:
+        padded, total = f" {word} ", 0
+        for at in range(len(padded)):
+            for width in range(min(5, len(padded) - at), 0, -1):
+                if padded[at : at + width] in plain[width - 1][0]:
+                    total += plain[width - 1][1][plain[width - 1][0][padded[at : at + width]]] + language.BACKOFF * (5 - width)
+                    break
+            else:
+                total += plain[0][2] + language.BACKOFF * 5
+        assert language.unseen([word], model.index(), model.none)[0] == pytest.approx(total / len(padded), abs=1e-5)
