@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language, sharding, tokens
+from millrace.llm import fingerprints, language, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_edits(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_with_limit(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -34,7 +38,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_token_counts, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op2_fingerprints, op4_token_counts, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
