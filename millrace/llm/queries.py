@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import fingerprints, language, sharding, tokens
+from millrace.llm import fingerprints, language, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_with_limit(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(documents(spark, sf_dir))
 
@@ -38,7 +42,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_fingerprints, op4_token_counts, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op2_fingerprints, op4_token_counts, op8_warc, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
