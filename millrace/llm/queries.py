@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import fingerprints, language, sharding, tokens, warc
+from millrace.llm import fingerprints, language, near_dup, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_with_edits(documents(spark, sf_dir))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_with_limit(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -42,7 +46,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_fingerprints, op4_token_counts, op8_warc, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op8_warc, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
