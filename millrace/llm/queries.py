@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, near_dup, sharding, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, near_dup, pieces, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_with_limit(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -50,7 +54,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op6_decontamination, op8_warc, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op8_warc, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
