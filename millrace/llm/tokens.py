@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 from collections import Counter
@@ -20,20 +21,21 @@ from millrace.llm.texts import plain_docs, slices
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 BLOCK_DOCS = 2_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCKS_PER_SALT = 2_048
 COUNT_AT_ONCE = 10_000
 LIMIT = 512
 
 POSTINGS = pa.schema(
-    [("place", pa.int32()), ("block", pa.int64()), ("pre", pa.list_(pa.string())), ("pre_at", pa.list_(pa.int32()))]
-    + [("doc_at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))]
+    [("place", pa.int32()), ("block", pa.int64()), ("pre", pa.list_(pa.string())), ("n_docs", pa.list_(pa.int32()))]
+    + [("doc_at", pa.list_(pa.int16())), ("n", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))]
 )
 COUNTED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 
+@functools.cache
 def load_tokenizer(path: str):
-    """The tokenizer of a .json file and its special strings; its counts must add up over pre-tokens."""
+    """Once per process: the tokenizer of a .json file and its special strings; its counts must add up over pre-tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -49,12 +51,11 @@ def load_tokenizer(path: str):
     return tokenizer, [t["content"] for t in spec["added_tokens"]]
 
 
-def frequencies(path: str, places: int):
+def frequencies(special: list[str], places: int):
     """Turns documents into blocks. A block gives one row with its documents (special strings already counted), and for
     each place of its pre-tokens one row with the distinct pre-tokens there and their postings (document, frequency)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, special = load_tokenizer(path)
         find = regex.compile(PATTERN).findall
         cut = regex.compile("|".join(regex.escape(s) for s in special)).split if special else lambda text: [text]
         task, seq = TaskContext.get().partitionId(), 0
@@ -70,7 +71,7 @@ def frequencies(path: str, places: int):
                 base.append(len(pieces) - 1)
                 sizes.append(len((text or "").encode()))
                 which.extend(names.setdefault(w, len(names)) for w in counts)
-                docs.append(np.full(len(counts), d, np.int32))
+                docs.append(np.full(len(counts), d, np.int16))
                 freqs.extend(counts.values())
             rows = [{"place": block % places, "block": block, "n": base, "ids": part["doc_id"].to_pylist(), "sizes": sizes}]
             if names:
@@ -78,10 +79,10 @@ def frequencies(path: str, places: int):
                 words = np.array(list(names), object)
                 salt = block // BLOCKS_PER_SALT % 1009
                 place = ((pd.util.hash_array(words, categorize=False) + np.uint64(salt)) % np.uint64(places)).astype(np.int32)
-                order = np.argsort(place[which], kind="stable")
+                order = np.lexsort((docs, which, place[which]))
                 for own in np.split(order, np.flatnonzero(np.diff(place[which[order]])) + 1):
-                    used, at = np.unique(which[own], return_inverse=True)
-                    rows.append({"place": int(place[used[0]]), "block": block, "pre": words[used].tolist(), "pre_at": at, "doc_at": docs[own], "n": freqs[own]})
+                    used, n_docs = np.unique(which[own], return_counts=True)
+                    rows.append({"place": int(place[used[0]]), "block": block, "pre": words[used].tolist(), "n_docs": n_docs, "doc_at": docs[own], "n": freqs[own]})
             for begin in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_pylist(rows[begin : begin + 64], schema=POSTINGS)
 
@@ -106,8 +107,8 @@ def weigh(path: str):
                     some = new[at : at + COUNT_AT_ONCE]
                     pieces.update(zip(some, map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False))))
                 each = np.array([pieces[p] for p in pre], np.int64)
-                docs = part["doc_at"].flatten().to_numpy()
-                sums = np.bincount(docs, each[part["pre_at"].flatten().to_numpy()] * part["n"].flatten().to_numpy())
+                weights = np.repeat(each, part["n_docs"].flatten().to_numpy()) * part["n"].flatten().to_numpy()
+                sums = np.bincount(part["doc_at"].flatten().to_numpy(), weights)
                 out = {"place": part["place"][0].as_py(), "block": part["block"][0].as_py(), "n": sums.astype(np.int64)}
                 yield pa.RecordBatch.from_pylist([out], schema=POSTINGS)
 
@@ -147,8 +148,9 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     """
     places = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = plain_docs(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    kind = "place int, block bigint, pre array<string>, pre_at array<int>, doc_at array<int>, n array<int>, ids array<bigint>, sizes array<bigint>"
-    posted = rows.mapInArrow(frequencies(path, places), kind).repartitionById(places, "place")
+    kind = "place int, block bigint, pre array<string>, n_docs array<int>, doc_at array<smallint>, n array<int>, ids array<bigint>, sizes array<bigint>"
+    _, special = load_tokenizer(path)
+    posted = rows.mapInArrow(frequencies(special, places), kind).repartitionById(places, "place")
     summed = posted.mapInArrow(weigh(path), kind).repartition(places, "block").sortWithinPartitions("block")
     return summed.mapInArrow(total, "doc_id bigint, n_bytes bigint, n_tokens bigint")
 
