@@ -1,10 +1,70 @@
-"""A corpus cleaned step by step; see STAGES."""
+"""A corpus cleaned step by step: languages, repeated lines, near-duplicates, benchmark leaks, then encoding.
+
+Each stage takes the documents that the stage before it kept, as a written table, and works on all of them. All but the
+last return the columns of ``documents``. Repeated and null ids, null and empty texts and extra columns are dealt with as
+the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.llm import decontaminate, language, line_dedup, near_dup, pieces
+from millrace.llm.queries import tokenizer_file
+from millrace.session import settle
+
+#: A document stays if its language is known; texts without a letter have none.
+REJECTED = language.UNKNOWN
+
+
+def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: learns from the labelled documents, drops texts of unknown language and fills missing labels."""
+    kept = docs.columns
+    found = language.identify(docs, language.fit(docs)).where(F.col("lang_pred") != REJECTED)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*kept)
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars follows the text where the table has it."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else docs
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: of each group of equal or similar lines one stays; a document that loses every line goes."""
+    return _counted(line_dedup.without_repeated_lines(docs))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: the document with the least id of each group stays."""
+    found = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(settle(found, "gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold an item of ``benchmark`` go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece encoding and decoding: ids of each whole text, and whether they decode to it."""
+    return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("language", with_language),
+    ("line_dedup", without_repeated_lines),
+    ("near_dedup", without_near_duplicates),
+    ("decontamination", without_leaks),
+    ("encoding", encoded),
+]
+
+#: Language models, MinHash and the encoder have no SQL form; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to ``documents``; each result is written to the shared folder and read as the next one's input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.session import settle
 
+#: Star rounds at most before the pairs that are left between different components are listed.
+STARS = 3
+#: They are listed at once where this is no more than so many pairs a row.
+PAIRS_PER_ROW = 30
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """Each node with the least node it is joined to, itself included. Minima combine before the shuffle."""
@@ -13,6 +20,13 @@ def _least(edges: DataFrame) -> DataFrame:
     return both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("least"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every upper end has one edge and no lower end is an upper one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of an edge, component being the least node that can be reached.
 
@@ -22,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     of rounds is logarithmic in the longest path; a node with very many edges is a key of a join that Spark can split.
     """
     edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while True:
+    while not _stars(edges):
         # Large star: neighbours above a node move to the least node that it knows.
         least = _least(edges)
         either = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -33,10 +47,42 @@ def components(edges: DataFrame) -> DataFrame:
         below = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"), F.count("*").alias("n"))
         small = large.join(below, large["a"] == below["node"])
         hooked = small.select("b", "least").where("b <> least").toDF("a", "b").unionByName(below.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
-        hooked = settle(hooked, "edges")
-        # Done when every node has one edge and no node is both an end and a centre.
-        tops = hooked.groupBy("a").count()
-        inner = hooked.select(F.col("b").alias("a")).distinct().join(tops.select("a"), "a", "left_semi")
-        if tops.where("count > 1").isEmpty() and inner.isEmpty():
-            return hooked.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(hooked.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        edges = hooked
+        edges = settle(hooked, "edges")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def linked(lists: DataFrame, by: list[str], confirm: Callable[[DataFrame], DataFrame], stars: int = STARS) -> DataFrame:
+    """(node, component) over candidate lists: two nodes are linked if they share a list and ``confirm`` keeps their pair.
+
+    ``lists`` has a row for each list (columns ``by``) and node in it, and is read several times, so it should be a
+    written table; ``confirm`` turns pairs (a, b) into those that hold. Pairs of a list are not all written out: its
+    nodes are first checked against one leader, linked nodes become one component, and lists within a component are
+    done. After ``stars`` rounds with other leaders, nodes of different components that still share a list are all
+    compared, so the components are those of all confirmed pairs.
+    """
+    labels = lists.select("node", F.col("node").alias("component")).distinct()
+    edges = tried = None
+    for turn in range(stars + 1):
+        own = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = own.groupBy(*by).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        own = settle(own.join(mixed.select(*by), by), "mixed")
+        rows, pairs_left = own.groupBy(*by).agg(F.count("*").cast("double").alias("n")).agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        if not rows:
+            break
+        last = turn == stars or (turn and pairs_left <= PAIRS_PER_ROW * rows)
+        if not last:
+            rank = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.lit(0), "node", "component")
+            other = own.groupBy(*by).agg(F.min(rank).alias("top")).select(*by, F.col("top.node").alias("other"), F.col("top.component").alias("apart"))
+            pairs = own.join(other, by).where(F.col("component") != F.col("apart"))
+        else:
+            other = own.select(*by, F.col("node").alias("other"), F.col("component").alias("apart"))
+            pairs = own.join(other, by).where(F.col("component") > F.col("apart"))
+        pairs = pairs.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
+        pairs = settle(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
+        found = settle(confirm(pairs), "links")
+        edges = found if edges is None else edges.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        labels = settle(components(edges), "labels")
+        if last:
+            break
+    return labels

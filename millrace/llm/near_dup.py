@@ -9,15 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.components import components
+from millrace.llm.components import linked
 from millrace.llm.texts import LOWER, SEPARATOR, mix, plain_docs, slices, span_hashes, spans, utf8, window_hashes
 from millrace.session import settle
 
 WORDS = 5
 PERCENT = 75
 COORDINATES = 64
-#: Star rounds before the pairs that are left between different components are listed.
-STARS = 3
 MISS = 1e-6
 
 _RNG = np.random.default_rng(31337)
@@ -137,40 +135,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(check, "a bigint, b bigint")
 
 
-def links(reps: DataFrame, texts_of, width: int = WORDS, percent: int = PERCENT, coordinates: int = COORDINATES) -> DataFrame:
-    """(node, component) over nodes with a confirmed link to another set; all pairs of a list are never written out.
-
-    Every posting list first checks its nodes against one leader. Nodes found to be linked become one component, and
-    lists within one component are done. After STARS rounds with other leaders, whatever nodes of different components
-    still share a list are all compared, so no link between components is lost.
-    """
-    threshold = match_threshold(coordinates, percent)
-    lists = settle(prefixes(reps, threshold), "postings")
-    texts = settle(texts_of(lists.select("node").distinct()), "texts")
-    labels = lists.select("node", F.col("node").alias("component")).distinct()
-    edges = tried = None
-    for turn in range(STARS + 1):
-        own = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = own.groupBy("at", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        own = settle(own.join(mixed.select("at", "value"), ["at", "value"]), "mixed")
-        if own.isEmpty():
-            break
-        if turn < STARS:
-            rank = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.lit(0), "node", "component")
-            other = own.groupBy("at", "value").agg(F.min(rank).alias("top")).select("at", "value", F.col("top.node").alias("other"), F.col("top.component").alias("apart"))
-            pairs = own.join(other, ["at", "value"]).where(F.col("component") != F.col("apart"))
-        else:
-            other = own.select("at", "value", F.col("node").alias("other"), F.col("component").alias("apart"))
-            pairs = own.join(other, ["at", "value"]).where(F.col("component") > F.col("apart"))
-        pairs = pairs.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
-        pairs = settle(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        found = settle(confirmed(matched(pairs, reps, threshold), texts, width, percent), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = settle(components(edges), "labels")
-    return labels
-
-
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``, over whole texts.
 
@@ -185,7 +149,11 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     known = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     nodes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     reps = settle(known.groupBy("set_key").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("node")).select("node", "signature"), "reps")
-    labels = links(reps, lambda wanted: rows.join(wanted, rows["doc_id"] == wanted["node"]).select("node", "text"), width, percent, coordinates)
+    threshold = match_threshold(coordinates, percent)
+    lists = settle(prefixes(reps, threshold), "postings")
+    wanted = lists.select("node").distinct()
+    texts = settle(rows.join(wanted, rows["doc_id"] == wanted["node"]).select("node", "text"), "texts")
+    labels = linked(lists, ["at", "value"], lambda pairs: confirmed(matched(pairs, reps, threshold), texts, width, percent))
     at = nodes.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("set_component"))
     joined = signed.join(at, "set_key", "left")
     component = F.coalesce("set_component", "doc_id")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, near_dup, pieces, sharding, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(documents(spark, sf_dir))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -54,7 +58,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op8_warc, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op7_line_dedup, op8_warc, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
