@@ -50,7 +50,8 @@ def bands(lines: DataFrame, shingle: int, rows: int, count: int) -> DataFrame:
     Shingles are rows that are hashed and folded to minima before the shuffle; a coordinate is the least hash after a
     fixed bit pattern is flipped.
     """
-    shingles = lines.select("node", _shingle_bytes(F.col("line")).alias("data"), F.explode(_places(F.col("line"), shingle)).alias("at"))
+    wide = lines.select("node", "line", _shingle_bytes(F.col("line")).alias("data"))  # below the explode: once per line
+    shingles = wide.select("node", "data", F.explode(_places(F.col("line"), shingle)).alias("at"))
     hashed = shingles.select("node", F.hash(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
     flips = [(0x9E3779B1 * (2 * j + 1) ^ (j * 0x85EBCA6B)) % 2**32 - 2**31 for j in range(rows * count)]
     least = hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(f).cast("int"))).alias(f"m{j}") for j, f in enumerate(flips)])
