@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, sharding, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, repeats, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digest(documents(spark, sf_dir))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_with_edits(documents(spark, sf_dir))
 
@@ -58,7 +62,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op7_line_dedup, op8_warc, op9_language, op10_shards)}
+    return {f.__name__: f for f in (op1_repeats, op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op7_line_dedup, op8_warc, op9_language, op10_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
