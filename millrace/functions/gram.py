@@ -47,8 +47,12 @@ def _block_gram(df: DataFrame, cols: Sequence[str], by: str) -> dict[object, np.
 
 
 def grams_by(df: DataFrame, cols: Sequence[str], by: str) -> dict[object, np.ndarray]:
-    """Gram matrix of complete rows per value of the small integer column ``by``."""
-    return (_jvm_gram if len(cols) <= JVM_WIDTH else _block_gram)(df, cols, by)
+    """Gram matrix per value of the small integer column ``by``, of the rows without null or NaN in ``cols``.
+
+    Up to JVM_WIDTH columns the cells are built-in aggregates, beyond that matrix products; the result is the same.
+    """
+    complete = df.select(by, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop(subset=list(cols))
+    return (_jvm_gram if len(cols) <= JVM_WIDTH else _block_gram)(complete, cols, by)
 
 
 def collect_gram(df: DataFrame, cols: Sequence[str]) -> np.ndarray:

@@ -24,6 +24,9 @@ PRUNE_SHARES = (0.02, 0.98)
 BROADCAST_LABELS = 100_000
 YES_NO = ("family_history", "hypertension", "asthma", "cirrhosis", "other_cancer")
 
+#: Share of a column that rounding may leave after regression on columns that give it exactly.
+COLLINEAR = 1e-10
+
 
 def medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, float]:
     if not cols:
@@ -201,9 +204,15 @@ def min_max_scale(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tup
 
 
 def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Variance inflation of each column of the raw design (no intercept): G_jj * inverse(G)_jj."""
+    """Variance inflation of each column of the raw design (no intercept): its square sum over what is left of it after
+    regression on the other columns. A column that the others give exactly has infinity, a column of zeros NaN."""
     complete = df.filter(~sum((missing(df, c).cast("int") for c in cols), F.lit(0)).cast("boolean"))
     gram = collect_gram(complete, cols)
-    inverse = np.linalg.pinv(gram)
-    rows = [(c, float(gram[j, j] * inverse[j, j])) for j, c in enumerate(cols)]
+    size = np.sqrt(np.diag(gram))
+    unit = gram / np.outer(np.where(size > 0, size, 1.0), np.where(size > 0, size, 1.0))
+    rows = []
+    for j, c in enumerate(cols):
+        others = [i for i in range(len(cols)) if i != j]
+        left = 1.0 - float(unit[j, others] @ np.linalg.pinv(unit[np.ix_(others, others)], hermitian=True) @ unit[others, j])
+        rows.append((c, float("nan") if size[j] == 0 else float("inf") if left < COLLINEAR else 1.0 / left))
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")

@@ -19,7 +19,7 @@ TRIP_BOUNDS = {
 
 def roles_table(df: DataFrame) -> DataFrame:
     """One row per column: role, whether outlier handling would pick it, and its non-null values."""
-    roles, picked = split_columns(df), set(outlier_columns(df, ["auto"]))
+    roles, picked = split_columns(df), set(outlier_columns(df))
     kind = {c: "id" for c in roles.ids} | {c: "label" for c in roles.labels}
     kind |= {c: "numeric" for c in roles.numeric} | {c: "string" for c in roles.strings}
     row = df.agg(*[F.count(c).alias(f"h{i}") for i, c in enumerate(df.columns)])

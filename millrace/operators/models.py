@@ -267,8 +267,8 @@ def lasso_weights(xx: np.ndarray, xy: np.ndarray, alpha: float, start: np.ndarra
             moved = math.copysign(max(abs(pull) - alpha, 0.0), pull) / xx[j, j]
             largest, w[j] = max(largest, abs(moved - w[j])), moved
         if largest < 1e-10:
-            break
-    return w
+            return w
+    raise ArithmeticError(f"coordinate descent did not settle for alpha {alpha}")
 
 
 @dataclass(frozen=True)
@@ -366,6 +366,7 @@ def lasso_path(train: DataFrame, test: DataFrame, features: Sequence[str], y: st
 
 def cv_mae(df: DataFrame, features: Sequence[str], y: str, key: Sequence[str], alpha: float, kind: str = "ridge", k: int = 5) -> DataFrame:
     """Mean over k folds of the held-out mean absolute error: one pass to fit all folds, one to judge."""
+    df = df.na.drop(subset=[*features, y])
     fits = {fold: m.solve(alpha, kind) for fold, m in fold_moments(df, features, y, key, k).items()}
     predicted: Column = F.lit(None).cast("double")
     for fold, (weights, intercept) in fits.items():

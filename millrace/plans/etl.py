@@ -17,7 +17,7 @@ from millrace.sources.tables import catalog, kind_by_schema, read_table, schema_
 # Defaults of the preparation and of its model-ready variant
 MISSING_PERCENT = 60.0
 IQR_K = 1.5
-MAX_OUTLIER_COLUMNS = 300
+OUTLIER_METHODS = ("none", "iqr_cap", "iqr_remove")
 READY_KEYS = ("case_id",)
 
 
@@ -29,18 +29,21 @@ class Config:
     sample: float = 1.0
     sample_key: Sequence[str] = ()
     missing_percent: float = MISSING_PERCENT
-    outlier_method: str = "none"  # none, iqr_cap, iqr_remove
-    outlier_columns: Sequence[str] = ("auto",)
+    outlier_method: str = "none"  # one of OUTLIER_METHODS
+    outlier_columns: Sequence[str] | None = None  # all numeric features
     iqr_k: float = IQR_K
-    max_outlier_columns: int = MAX_OUTLIER_COLUMNS
     approx_quantiles: bool = False
     dedup_keys: Sequence[str] = ()
     dedup_order: Sequence[str] = ()
 
+    def __post_init__(self) -> None:
+        if self.outlier_method not in OUTLIER_METHODS:
+            raise ValueError(f"outlier method {self.outlier_method!r} is not one of {', '.join(OUTLIER_METHODS)}")
+
 
 def ml_ready(cfg: Config) -> Config:
     """Repeated cases removed and every numeric feature capped."""
-    return replace(cfg, dedup_keys=READY_KEYS, outlier_method="iqr_cap", max_outlier_columns=0)
+    return replace(cfg, dedup_keys=READY_KEYS, outlier_method="iqr_cap")
 
 
 @dataclass(frozen=True)
@@ -98,7 +101,7 @@ def prepare_matrix(df: DataFrame, cfg: Config) -> Prepared:
     if cfg.outlier_method != "none":
         # the fences take two passes and the result a third: write the coded table once instead
         coded = settle(coded, "coded") if strings else coded
-        cols = q.outlier_columns(coded, cfg.outlier_columns, cfg.max_outlier_columns)
+        cols = q.outlier_columns(coded, cfg.outlier_columns)
         bounds = q.fit_iqr(coded, cols, cfg.iqr_k, approx=cfg.approx_quantiles)
         before = q.apply_cap(coded, bounds) if cfg.outlier_method == "iqr_cap" else coded.filter(q.within_fences(bounds))
     final = q.dedup(before, cfg.dedup_keys, cfg.dedup_order)
@@ -168,5 +171,5 @@ def run_all(
             written = run(spark, file["path"], target, cfg).count()
             rows.append((file["input"], file["size_class"], "feature_matrix" if matrix else "passthrough", written, None))
         except Exception as exc:  # noqa: BLE001
-            rows.append((file["input"], file["size_class"], "failed", None, f"{type(exc).__name__}: {exc}"[:500]))
+            rows.append((file["input"], file["size_class"], "failed", None, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(rows, "input string, size_class string, kind string, rows bigint, error string")

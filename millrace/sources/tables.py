@@ -9,9 +9,8 @@ from pyspark.sql import types as T
 from millrace.operators.ingest import CUSTOMER_TEXT
 from millrace.operators.reports import concat
 
-# Size classes in MB, rows and columns per output partition, reference cap, file name parts
+# Size classes in MB, file name parts
 SMALL_MB, MEDIUM_MB = 50, 300
-ROWS_PER_PART, COLS_PER_PART, PART_CAP = 75_000, 400, 32
 INPUT_TAG, OUTPUT_TAG, MATRIX_TAG = "_standardized", "_processed", "feature_matrix"
 MATRIX_WIDTH = 10
 
@@ -52,22 +51,22 @@ def read_monthly(spark: SparkSession, path: str, expect: int | None = None, mixe
     return concat(*[f.toDF(*[c.lower() for c in f.columns]) for f in frames])
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """JSON customer records, one array per file or one object per line, with the declared text schema."""
-    return spark.read.schema(CUSTOMER_TEXT).option("multiLine", True).json(path)
+def read_customers(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """JSON customer records with the declared text schema.
 
-
-def partition_count(rows: int, cols: int, cap: int | None = PART_CAP) -> int:
-    """Output partitions from rows and columns; ``cap=None`` lifts the small-data limit."""
-    wanted = max(1, rows // ROWS_PER_PART) * max(1, cols // COLS_PER_PART)
-    return max(1, wanted if cap is None else min(cap, wanted))
+    ``layout`` is 'lines' (one object per line, files are split) or 'array' (one array or object per file, which a
+    single task reads).
+    """
+    if layout not in ("lines", "array"):
+        raise ValueError(f"layout {layout!r} is neither 'lines' nor 'array'")
+    return spark.read.schema(CUSTOMER_TEXT).option("multiLine", layout == "array").json(path)
 
 
 def write_table(df: DataFrame, path: str, partitions: int | None = None) -> str:
     """Snappy parquet, overwriting ``path``.
 
     Without ``partitions`` AQE rebalances to even files from the measured size, splitting skewed ones, so
-    no count is needed before the write. A fixed number merges without a shuffle when it only shrinks.
+    no count is needed before the write. A fixed number deals the rows out evenly, which is a shuffle.
     """
     out = df.hint("rebalance") if partitions is None else df.repartition(partitions)
     out.write.mode("overwrite").option("compression", "snappy").parquet(path)

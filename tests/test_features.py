@@ -125,3 +125,9 @@ def test_url_parts(frame):
 def test_lines_of(frame):
     got = [r[0] for r in frame([("a\n\nb\r\nc\rd\n",), ("a",), ("\n\n",)], "t string").select(ex.lines_of(F.col("t"))).collect()]
     assert got == [["a", "", "b", "c", "d"], ["a"], ["", ""]]
+
+
+def test_vif_of_collinear_columns(frame):
+    rows = [(float(i), float(i), float(i * i % 7), 0.0) for i in range(1, 20)]
+    got = {r["feature"]: r["vif"] for r in ft.vif(frame(rows, "a double, b double, c double, z double"), list("abcz")).collect()}
+    assert got["a"] == got["b"] == float("inf") and 1 <= got["c"] < 10 and got["z"] != got["z"]

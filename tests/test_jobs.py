@@ -126,3 +126,8 @@ def test_score_stream_equals_batch(spark, rows_in):
 
 def test_report_stays_lazy(tables):
     assert rv.review_report(tables.reviews.limit(0)).count() == 0
+
+
+def test_unknown_outlier_method_is_refused():
+    with pytest.raises(ValueError, match="outlier method"):
+        etl.Config(outlier_method="IQR_CAP")

@@ -205,3 +205,15 @@ def test_cv_mae_equals_brute_force(line):
         w = np.linalg.solve((tx - tx.mean(0)).T @ (tx - tx.mean(0)) + 2.0 * np.eye(3), (tx - tx.mean(0)).T @ (ty - ty.mean()))
         errors.append(np.abs(y[folds == k] - (ty.mean() + (x[folds == k] - tx.mean(0)) @ w)).mean())
     assert md.cv_mae(df, list("abc"), "y", ["id"], 2.0).first()["mae"] == pytest.approx(np.mean(errors))
+
+
+def test_grams_leave_incomplete_rows_out_at_any_width(frame):
+    from millrace.functions.gram import collect_gram
+
+    for width in (3, 20):
+        rows = [tuple(float(r * (c + 1) % 5) for c in range(width)) for r in range(40)]
+        holes = [(None, *rows[0][1:]), (*rows[1][:-1], float("nan"))]
+        kind = ", ".join(f"c{i} double" for i in range(width))
+        names = [f"c{i}" for i in range(width)]
+        whole = collect_gram(frame(rows, kind), names)
+        assert (collect_gram(frame(rows + holes, kind).repartition(5), names) == whole).all()

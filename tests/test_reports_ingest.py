@@ -122,11 +122,6 @@ def test_monthly_files(spark, tmp_path):
             tb.read_monthly(spark, str(tmp_path), expect=wrong)
 
 
-def test_partition_rule():
-    assert [tb.partition_count(*a) for a in [(0, 5), (75_000, 10), (750_000, 400), (10**9, 4000), (750_000, 850)]] == [1, 1, 10, 32, 20]
-    assert tb.partition_count(10**9, 10, cap=None) == 13_333
-
-
 def test_write_and_versions(spark, tmp_path):
     df = spark.range(10)
     out = tb.write_table(df, str(tmp_path / "t"), partitions=3)
@@ -169,7 +164,14 @@ def test_product_files_in_both_layouts(spark, tmp_path):
 
 def test_customers_json_array(spark, tmp_path):
     (tmp_path / "c.json").write_text('[{"customer_id": "C1", "account_balance": 5.5},\n {"customer_id": "C2", "extra": 1}]')
-    assert sorted((r["customer_id"], r["account_balance"]) for r in tb.read_customers(spark, str(tmp_path)).collect()) == [("C1", "5.5"), ("C2", None)]
+    assert sorted((r["customer_id"], r["account_balance"]) for r in tb.read_customers(spark, str(tmp_path), "array").collect()) == [("C1", "5.5"), ("C2", None)]
+
+
+def test_customers_json_lines(spark, tmp_path):
+    (tmp_path / "c.json").write_text("\n".join(f'{{"customer_id": "C{i}"}}' for i in range(5)))
+    assert tb.read_customers(spark, str(tmp_path)).count() == 5
+    with pytest.raises(ValueError, match="layout"):
+        tb.read_customers(spark, str(tmp_path), "xml")
 
 
 class FakeContext:
