@@ -140,3 +140,12 @@ def test_texts(frame):
     assert row["report_line"] == "- [Critical] [High Confidence] f.py d (Line 3)"
     assert row["pull_line"] == "- **Critical** (High) d"
     assert row["comment"].split() == "File: f.py Line: 3 [Critical] [High Confidence] d Recommendation: r".split()
+
+
+def test_files_of_one_event_are_numbered_apart(frame):
+    patch = lambda start, *lines: "\n".join([f"@@ -{start},2 +{start},2 @@", *[f"+{x}" for x in lines]])
+    diffs = frame([(1, "a.py", patch(1, "x = 1", "y = eval(q)")), (1, "b.py", patch(50, "z = 2", "w = 3"))], "diff_id int, filename string, patch string")
+    got = sorted((r["filename"], r["line"], r["text"]) for r in rv.diff_lines(diffs).collect())
+    assert got == [("a.py", 1, "x = 1"), ("a.py", 2, "y = eval(q)"), ("b.py", 50, "z = 2"), ("b.py", 51, "w = 3")]
+    found = frame([(1, "a.py", "uses eval on input", 2), (1, "b.py", "uses eval on input", 51)], "diff_id int, filename string, description string, line int")
+    assert {r["filename"]: r["reason"] is None for r in rv.evidence(found, diffs).collect()} == {"a.py": True, "b.py": False}
