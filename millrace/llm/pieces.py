@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.texts import slices
 from millrace.session import settle
 
-CHUNK = 16_384
+CHUNK = 65_536
 SPACE = "▁"
 CACHE_PAIRS = 1_000_000
 NEVER = -np.inf
@@ -236,27 +237,35 @@ def _trace(path: str):
     return run
 
 
+def _encoded(model, ids: pa.Array, texts: list[str], parts: list[list[int]], own: pa.Array) -> pa.RecordBatch:
+    """Decodes ``parts`` and tells whether the texts come back; a blank's own sign stands for a blank."""
+    back = model.decode(parts, num_threads=1) if parts else []
+    same = [b == t or b == t.replace(SPACE, " ") for b, t in zip(back, texts)]
+    return pa.RecordBatch.from_arrays([ids, own, pa.array(same, pa.bool_())], schema=ENCODED)
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path).whole
         for part in slices(batches, size=1 << 20, rows=500):
-            ids = model.encode([t or "" for t in part["text"].to_pylist()], num_threads=1)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["text"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "text", "ids"])
+            texts = [t or "" for t in part["text"].to_pylist()]
+            parts = model.encode(texts, num_threads=1)
+            offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+            flat = np.fromiter(chain.from_iterable(parts), np.int32, int(offsets[-1]))
+            yield _encoded(model, part["doc_id"], texts, parts, pa.ListArray.from_arrays(offsets, flat))
 
     return run
 
 
-def _compare(path: str, before):
-    """Decodes what ``before`` encodes and tells whether the text comes back; a blank's own sign stands for a blank."""
+def _check(path: str):
+    """Adds the comparison to ids that came by chunks, one document at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path).whole
-        for batch in before(batches) if before else batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = model.decode([i.as_py() or [] for i in part["ids"]], num_threads=1) if part.num_rows else []
-                same = [t == (own or "").replace(SPACE, " ") for t, own in zip(texts, part["text"].to_pylist())]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["ids"], pa.array(same, pa.bool_())], schema=ENCODED)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = batch.slice(row, 1)
+                yield _encoded(model, part["doc_id"], part["text"].to_pylist(), part["ids"].to_pylist(), part["ids"])
 
     return run
 
@@ -275,7 +284,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     around = load(path).longest
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     giant = F.coalesce(F.length("text") > chunk, F.lit(False))
-    plain = rows.where(~giant).mapInArrow(_compare(path, _encode(path)), ENCODED_KIND)
+    plain = rows.where(~giant).mapInArrow(_encode(path), ENCODED_KIND)
     giants = settle(rows.where(giant).withColumn("key", F.expr("uuid()")), "giants")
     chunks = settle(giants.select("key", "text").mapInArrow(_cut(chunk, around), CHUNK_KIND), "chunks")
     matrices = chunks.repartition(places, "key", "seq").mapInArrow(_transfer(path), "key string, seq int, n int, matrix array<double>")
@@ -283,7 +292,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     traced = chunks.join(states, ["key", "seq"]).mapInArrow(_trace(path), "key string, seq int, ids array<int>")
     joined = traced.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("seq", "ids"))).alias("parts"))
     joined = joined.select("key", F.flatten("parts.ids").alias("ids"))
-    long = giants.join(joined, "key").select("doc_id", "text", "ids").mapInArrow(_compare(path, None), ENCODED_KIND)
+    long = giants.join(joined, "key").select("doc_id", "text", "ids").mapInArrow(_check(path), ENCODED_KIND)
     return plain.unionByName(long)
 
 
