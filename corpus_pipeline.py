@@ -35,9 +35,9 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: the document with the least id of each group stays."""
-    found = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(settle(found, "gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    """MinHash near-dedup: the document with the least id of each group stays, and any id that has another kept text."""
+    found = near_dup.near_duplicates(docs).groupBy(F.col("doc_id").alias("__gone")).agg(F.max("kept").alias("__kept")).where("NOT __kept")
+    return docs.join(settle(found.select("__gone"), "gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
