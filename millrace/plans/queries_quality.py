@@ -56,6 +56,12 @@ def register(r: Registry) -> None:
         lambda t: q.drop_unlabeled(t.matrix),
         "SELECT * FROM v_matrix WHERE fm_target IS NOT NULL AND fm_target <> -999",
     )
+    r.add(
+        "drop_unlabeled_text",
+        "P5",
+        lambda t: q.drop_unlabeled(t.matrix.withColumn("fm_set", F.expr("CASE case_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN '-999' END"))),
+        "SELECT *, 'train' AS fm_set FROM v_matrix WHERE fm_target IS NOT NULL AND fm_target <> -999 AND case_id % 3 = 0",
+    )
     r.add(
         "vitals_bounds",
         "P6",
@@ -129,6 +135,12 @@ def register(r: Registry) -> None:
         lambda t: q.drop_constant(t.cars.withColumn("source", F.lit("catalog")), ["brand"]),
         "SELECT car_id, make_model, price, age, car_type, safety FROM v_cars",
     )
+    r.add(
+        "drop_constant_nan",
+        "P12",
+        lambda t: q.drop_constant(t.cars.withColumn("half", F.when(F.col("car_id") % 2 == 0, 1.0).otherwise(float("nan"))), ["brand"]),
+        "SELECT car_id, make_model, price, age, car_type, safety FROM v_cars",
+    )
     r.add(
         "drop_sparse_columns",
         "P13",
