@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import settle
 
@@ -51,14 +53,23 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def linked(lists: DataFrame, by: list[str], confirm: Callable[[DataFrame], DataFrame], stars: int = STARS) -> DataFrame:
+def linked(
+    lists: DataFrame,
+    by: list[str],
+    confirm: Callable[[DataFrame], DataFrame],
+    sketch: Callable[[DataFrame], DataFrame] | None = None,
+    alike: Callable[[Column, Column], Column] | None = None,
+    stars: int = STARS,
+) -> DataFrame:
     """(node, component) over candidate lists: two nodes are linked if they share a list and ``confirm`` keeps their pair.
 
     ``lists`` has a row for each list (columns ``by``) and node in it, and is read several times, so it should be a
     written table; ``confirm`` turns pairs (a, b) into those that hold. Pairs of a list are not all written out: its
     nodes are first checked against one leader, linked nodes become one component, and lists within a component are
     done. After ``stars`` rounds with other leaders, nodes of different components that still share a list are all
-    compared, so the components are those of all confirmed pairs.
+    compared, so the components are those of all confirmed pairs. There a pair comes from the first of its lists
+    only, and if ``sketch`` is given, which turns nodes into (node, sketch), only if ``alike`` says of its sketches that
+    it may be confirmed; both are conditions of the join, so other pairs are never rows.
     """
     labels = lists.select("node", F.col("node").alias("component")).distinct()
     edges = tried = None
@@ -75,8 +86,17 @@ def linked(lists: DataFrame, by: list[str], confirm: Callable[[DataFrame], DataF
             other = own.groupBy(*by).agg(F.min(rank).alias("top")).select(*by, F.col("top.node").alias("other"), F.col("top.component").alias("apart"))
             pairs = own.join(other, by).where(F.col("component") != F.col("apart"))
         else:
-            other = own.select(*by, F.col("node").alias("other"), F.col("component").alias("apart"))
-            pairs = own.join(other, by).where(F.col("component") > F.col("apart"))
+            listed = own.withColumn("list", F.xxhash64(*by))
+            facts = listed.groupBy("node").agg(F.collect_list("list").alias("all"))
+            if sketch is not None:
+                facts = facts.join(settle(sketch(facts.select("node")), "sketches"), "node")
+            full = settle(listed.join(facts, "node"), "left")
+            x, y = full.alias("x"), full.alias("y")
+            where = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in by] + [F.col("x.component") > F.col("y.component")]
+            if alike is not None:
+                where.append(alike(F.col("x.sketch"), F.col("y.sketch")))
+            where.append(F.array_min(F.array_intersect("x.all", "y.all")) == F.col("x.list"))
+            pairs = x.join(y, reduce(and_, where)).select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
         pairs = pairs.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
         pairs = settle(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
         found = settle(confirm(pairs), "links")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import linked
 from millrace.llm.texts import LOWER, SEPARATOR, mix, plain_docs, slices, span_hashes, spans, utf8, window_hashes
@@ -17,17 +19,22 @@ WORDS = 5
 PERCENT = 75
 COORDINATES = 64
 MISS = 1e-6
+#: Bits of the sketches that keep hopeless pairs out of the last comparison.
+BITS = 1024
+#: Their hash functions come after those of the signatures.
+COORDINATES_AT = 1000
 
 _RNG = np.random.default_rng(31337)
-FLIPS = _RNG.integers(0, 2**63, 1024, dtype=np.uint64) * np.uint64(2)
-FACTORS = _RNG.integers(0, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FLIPS = _RNG.integers(0, 2**63, 2048, dtype=np.uint64) * np.uint64(2)
+FACTORS = _RNG.integers(0, 2**63, 2048, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.string()), ("signature", pa.list_(pa.int32()))])
 
 
-def match_threshold(coordinates: int = COORDINATES, percent: int = PERCENT, miss: float = MISS) -> int:
-    """The greatest number of equal coordinates that a pair just at the limit reaches but for a chance of ``miss``."""
-    p, total = percent / 100, 0.0
+def match_threshold(coordinates: int = COORDINATES, p: float = PERCENT / 100, miss: float = MISS) -> int:
+    """The greatest number of equal coordinates that a pair reaches but for a chance of ``miss``, if each is equal with
+    the chance ``p``."""
+    total = 0.0
     for k in range(coordinates + 1):
         total += math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
         if total > miss:
@@ -60,14 +67,14 @@ def shingle_sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
-    """MinHash coordinates of non-empty sets, 32 bits each."""
+def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES, first_one: int = 0) -> np.ndarray:
+    """MinHash coordinates of non-empty sets, 32 bits each, by the hash functions from ``first_one`` on."""
     flat = np.concatenate(sets)
     sizes = np.array([len(s) for s in sets])
     first = np.cumsum(sizes) - sizes
     out = np.empty((len(sets), coordinates), np.int32)
     for j in range(coordinates):
-        least = np.minimum.reduceat((flat ^ FLIPS[j]) * FACTORS[j], first)
+        least = np.minimum.reduceat((flat ^ FLIPS[first_one + j]) * FACTORS[first_one + j], first)
         out[:, j] = (mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     return out
 
@@ -135,6 +142,29 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(check, "a bigint, b bigint")
 
 
+def sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(node, sketch): one bit of each of BITS further MinHash coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = signatures(shingle_sets(part["text"], width), BITS, COORDINATES_AT)
+            bits = np.packbits((found & 1).astype(np.uint8), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part["node"], pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "sketch"])
+
+    return texts.mapInArrow(run, "node bigint, sketch array<bigint>")
+
+
+def sketches_alike(percent: int):
+    """Of two sketches, whether a pair at the limit could have them: bits agree with a chance of (1 + similarity) / 2."""
+    least = match_threshold(BITS, (1 + percent / 100) / 2)
+
+    def alike(x: Column, y: Column) -> Column:
+        apart = reduce(add, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)])
+        return F.lit(BITS) - apart >= least
+
+    return alike
+
+
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``, over whole texts.
 
@@ -149,11 +179,17 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     known = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     nodes = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     reps = settle(known.groupBy("set_key").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("node")).select("node", "signature"), "reps")
-    threshold = match_threshold(coordinates, percent)
+    threshold = match_threshold(coordinates, percent / 100)
     lists = settle(prefixes(reps, threshold), "postings")
     wanted = lists.select("node").distinct()
     texts = settle(rows.join(wanted, rows["doc_id"] == wanted["node"]).select("node", "text"), "texts")
-    labels = linked(lists, ["at", "value"], lambda pairs: confirmed(matched(pairs, reps, threshold), texts, width, percent))
+    labels = linked(
+        lists,
+        ["at", "value"],
+        lambda pairs: confirmed(matched(pairs, reps, threshold), texts, width, percent),
+        lambda some: sketches(texts.join(some, "node", "left_semi"), width),
+        sketches_alike(percent),
+    )
     at = nodes.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("set_component"))
     joined = signed.join(at, "set_key", "left")
     component = F.coalesce("set_component", "doc_id")
