@@ -56,7 +56,7 @@ def components(edges: DataFrame) -> DataFrame:
 def linked(
     lists: DataFrame,
     by: list[str],
-    confirm: Callable[[DataFrame], DataFrame],
+    confirm: Callable[[DataFrame, bool], DataFrame],
     sketch: Callable[[DataFrame], DataFrame] | None = None,
     alike: Callable[[Column, Column], Column] | None = None,
     stars: int = STARS,
@@ -64,7 +64,7 @@ def linked(
     """(node, component) over candidate lists: two nodes are linked if they share a list and ``confirm`` keeps their pair.
 
     ``lists`` has a row for each list (columns ``by``) and node in it, and is read several times, so it should be a
-    written table; ``confirm`` turns pairs (a, b) into those that hold. Pairs of a list are not all written out: its
+    written table; ``confirm`` turns pairs (a, b) into those that hold and is told whether sketches chose them. Pairs of a list are not all written out: its
     nodes are first checked against one leader, linked nodes become one component, and lists within a component are
     done. After ``stars`` rounds with other leaders, nodes of different components that still share a list are all
     compared, so the components are those of all confirmed pairs. There a pair comes from the first of its lists
@@ -99,7 +99,7 @@ def linked(
             pairs = x.join(y, reduce(and_, where)).select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
         pairs = pairs.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
         pairs = settle(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        found = settle(confirm(pairs), "links")
+        found = settle(confirm(pairs, bool(last and sketch)), "links")
         edges = found if edges is None else edges.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
         labels = settle(components(edges), "labels")

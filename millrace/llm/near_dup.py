@@ -20,13 +20,13 @@ PERCENT = 75
 COORDINATES = 64
 MISS = 1e-6
 #: Bits of the sketches that keep hopeless pairs out of the last comparison.
-BITS = 1024
+BITS = 4096
 #: Their hash functions come after those of the signatures.
 COORDINATES_AT = 1000
 
 _RNG = np.random.default_rng(31337)
-FLIPS = _RNG.integers(0, 2**63, 2048, dtype=np.uint64) * np.uint64(2)
-FACTORS = _RNG.integers(0, 2**63, 2048, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FLIPS = _RNG.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2)
+FACTORS = _RNG.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.string()), ("signature", pa.list_(pa.int32()))])
 
@@ -34,9 +34,12 @@ SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_ke
 def match_threshold(coordinates: int = COORDINATES, p: float = PERCENT / 100, miss: float = MISS) -> int:
     """The greatest number of equal coordinates that a pair reaches but for a chance of ``miss``, if each is equal with
     the chance ``p``."""
+    if not 0 < p < 1:
+        return coordinates if p >= 1 else 1
     total = 0.0
     for k in range(coordinates + 1):
-        total += math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
+        ways = math.lgamma(coordinates + 1) - math.lgamma(k + 1) - math.lgamma(coordinates - k + 1)
+        total += math.exp(ways + k * math.log(p) + (coordinates - k) * math.log(1 - p))
         if total > miss:
             return max(1, k)
     return coordinates
@@ -146,7 +149,7 @@ def sketches(texts: DataFrame, width: int) -> DataFrame:
     """(node, sketch): one bit of each of BITS further MinHash coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, rows=200):
             found = signatures(shingle_sets(part["text"], width), BITS, COORDINATES_AT)
             bits = np.packbits((found & 1).astype(np.uint8), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays([part["node"], pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "sketch"])
@@ -186,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     labels = linked(
         lists,
         ["at", "value"],
-        lambda pairs: confirmed(matched(pairs, reps, threshold), texts, width, percent),
+        lambda pairs, sketched: confirmed(pairs if sketched else matched(pairs, reps, threshold), texts, width, percent),
         lambda some: sketches(texts.join(some, "node", "left_semi"), width),
         sketches_alike(percent),
     )

@@ -2,7 +2,7 @@
 
 Texts are grouped into shards. Every shard is parsed into phrases between content-defined anchors, and the suffixes that
 begin at anchors are put in order within their shard, so that equal contexts are intervals. Shards are merged by
-interleaving their intervals by what follows the anchor and then refining by the whole context of an anchor; an interval
+interleaving their intervals by what is around the anchor and then refining by its whole context; an interval
 that is alone in the interleave leaves at once. What is still undecided, around the edges of repeats, is refined down to
 single places. No suffixes are sorted again after the shards are built.
 """
@@ -25,8 +25,8 @@ GRAM = 8
 SHARD_BYTES = 1 << 20
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
-INTERVALS = pa.schema([("follows", pa.int64()), ("context", pa.int64()), ("shard", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("n", pa.int32())])
-INTERVAL_KIND = "follows bigint, context bigint, shard bigint, low int, high int, n int"
+INTERVALS = pa.schema([("around", pa.int64()), ("context", pa.int64()), ("shard", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("n", pa.int32())])
+INTERVAL_KIND = "around bigint, context bigint, shard bigint, low int, high int, n int"
 PLACES = pa.schema([("window", pa.int64()), ("shard", pa.int64()), ("at", pa.int32()), ("alone", pa.bool_())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 RESULT_KIND = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -75,8 +75,8 @@ class Shard:
         return np.flatnonzero(sliding(padded, gap, np.maximum) == rank)
 
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of places that share an anchor: first and last place, hash of what follows the anchor, hash of all
-        bytes of the run's strings. A place's anchor is the first that is ``gap`` bytes after it or more."""
+        """Runs of places that share an anchor: first and last place, hash of what is around the anchor in all of the run's
+        strings, hash of all bytes of these strings. A place's anchor is the first that is ``gap`` bytes after it or more."""
         at = self.anchors()
         text = np.searchsorted(self.offsets, at, "right") - 1
         begin, end = self.offsets[text], self.offsets[text + 1]
@@ -86,11 +86,10 @@ class Shard:
         low = np.maximum(before - self.gap + 1, begin)
         high = np.minimum(at - self.gap, end - self.length)
         own = np.flatnonzero(high >= low)
-        # Anchors up to here are fixed by the bytes of every string whose anchor this is.
-        reach = self.length - (2 * self.gap - 1) - self.gap - GRAM
-        last = at[np.searchsorted(at, at[own] + reach, "right") - 1]
-        low, high = low[own], high[own]
-        return low, high, self.hashes(at[own], np.minimum(last, end[own])), self.hashes(low, high + self.length)
+        at, low, high = at[own], low[own], high[own]
+        # Every string of a block has these bytes around its anchor.
+        around = self.hashes(at - self.gap, at + self.length - 2 * self.gap + 1)
+        return low, high, around, self.hashes(low, high + self.length)
 
 
 def sliding(values: np.ndarray, width: int, fold) -> np.ndarray:
@@ -125,43 +124,45 @@ def _each(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.R
 
 
 def intervals(length: int):
-    """Each shard's anchored suffixes in order of (what follows, whole context): one row per interval of equal ones."""
+    """Each shard's anchored suffixes in order of (bytes around the anchor, whole context): one row per interval of equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, shard in _each(batches, length):
-            low, high, follows, context = shard.blocks()
-            order = np.lexsort((context, follows))
-            follows, context = follows[order], context[order]
+            low, high, around, context = shard.blocks()
+            order = np.lexsort((context, around))
+            around, context = around[order], context[order]
             first = np.ones(len(order), bool)
-            first[1:] = (follows[1:] != follows[:-1]) | (context[1:] != context[:-1])
+            first[1:] = (around[1:] != around[:-1]) | (context[1:] != context[:-1])
             at = np.flatnonzero(first)
             n = np.diff(np.append(at, len(order)))
             lead = order[at]
             name = pa.array(np.full(len(at), row["shard"][0].as_py(), np.int64))
-            yield pa.RecordBatch.from_arrays([_signed(follows[at]), _signed(context[at]), name, *[pa.array(x.astype(np.int32)) for x in (low[lead], high[lead], n)]], schema=INTERVALS)
+            yield pa.RecordBatch.from_arrays([_signed(around[at]), _signed(context[at]), name, *[pa.array(x.astype(np.int32)) for x in (low[lead], high[lead], n)]], schema=INTERVALS)
 
     return run
 
 
-def interleave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows ordered by ``follows``, those whose value is shared by several suffixes; no group is held."""
-    held = None  # last row, not yet known to be shared
-    taken = None  # the last row's value if it went out
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.concat_batches([held, batch]) if held is not None else batch
-        key, n = rows["follows"].to_numpy(), rows["n"].to_numpy()
-        same = key[1:] == key[:-1]
-        keep = n > 1
-        keep[1:] |= same
-        keep[:-1] |= same
-        keep |= (key == taken) if taken is not None else False
-        if keep[-1]:
-            taken, held = key[-1], None
-        else:
-            taken, held = None, rows.slice(len(key) - 1)
-        yield rows.filter(pa.array(keep))
+def shared_runs(key: str, weight: str | None = None):
+    """Of rows ordered by ``key``, those whose value occurs more than once, a row counting ``weight`` times. A run is
+    never held: only whether the row before has its value, and the last row until the next one is seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = taken = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_batches([held, batch]) if held is not None else batch
+            values = rows[key].to_numpy()
+            keep = rows[weight].to_numpy() > 1 if weight else np.zeros(len(values), bool)
+            same = values[1:] == values[:-1]
+            keep[1:] |= same
+            keep[:-1] |= same
+            if taken is not None:
+                keep |= values == taken
+            taken, held = (values[-1], None) if keep[-1] else (None, rows.slice(len(values) - 1))
+            yield rows.filter(pa.array(keep))
+
+    return run
 
 
 def places(length: int):
@@ -214,25 +215,25 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     stay whole; copies lose everything, repeated rows and ids are texts like others. Cuts fall on bytes, so ``kept`` need
     not be valid UTF-8. Strings are compared by 64-bit hashes. A task holds one shard, that is one text or about 1 MB.
 
-    A run of places with one anchor is a block. Blocks with equal bytes decide all their places at once. Blocks whose
-    anchors are followed by the same bytes, but differ elsewhere, are one representative each of which all places are
-    compared. A value shared by very many suffixes travels once per shard and context, never as pairs.
+    A run of places with one anchor is a block. Blocks with equal bytes decide all their places at once. Of blocks
+    that are equal around their anchors but differ elsewhere, one representative each has all its places compared. A value shared by very many suffixes travels once per shard and context, never as pairs.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = plain_docs(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     shards = make_shards(rows)
-    ordered = shards.select("shard", "texts").mapInArrow(intervals(length), INTERVAL_KIND).repartition(n, "follows").sortWithinPartitions("follows")
-    shared = settle(ordered.mapInArrow(interleave, INTERVAL_KIND), "shared")
-    contexts = shared.groupBy("follows", "context").agg(F.sum("n").alias("total"), F.min(F.struct("shard", "low", "high")).alias("lead"))
+    ordered = shards.select("shard", "texts").mapInArrow(intervals(length), INTERVAL_KIND).repartition(n, "around").sortWithinPartitions("around")
+    shared = settle(ordered.mapInArrow(shared_runs("around", "n"), INTERVAL_KIND), "shared")
+    contexts = shared.groupBy("around", "context").agg(F.sum("n").alias("total"), F.min(F.struct("shard", "low", "high")).alias("lead"))
     contexts = settle(contexts, "contexts")
-    mixed = contexts.groupBy("follows").agg(F.count("*").alias("kinds"), F.min("total").alias("least")).where("kinds > 1 AND least = 1").select("follows")
-    asked = contexts.join(mixed, "follows", "left_semi").select("lead.shard", F.struct("lead.low", "lead.high", (F.col("total") == 1).alias("alone")).alias("block"))
+    mixed = contexts.groupBy("around").agg(F.count("*").alias("kinds"), F.min("total").alias("least")).where("kinds > 1 AND least = 1").select("around")
+    asked = contexts.join(mixed, "around", "left_semi").select("lead.shard", F.struct("lead.low", "lead.high", (F.col("total") == 1).alias("alone")).alias("block"))
     asked = asked.groupBy("shard").agg(F.collect_list("block").alias("asked"))
-    compared = settle(shards.select("shard", "texts").join(asked, "shard").mapInArrow(places(length), "window bigint, shard bigint, at int, alone boolean"), "places")
-    windows = compared.groupBy("window").agg(F.count("*").alias("n"), F.max("alone").alias("any")).where("n > 1 AND any").select("window")
-    single = compared.where("alone").join(windows, "window", "left_semi").groupBy("shard").agg(F.collect_list("at").alias("places"))
-    whole = shared.join(contexts.where("total > 1").select("follows", "context"), ["follows", "context"], "left_semi")
+    place_kind = "window bigint, shard bigint, at int, alone boolean"
+    compared = shards.select("shard", "texts").join(asked, "shard").mapInArrow(places(length), place_kind)
+    compared = compared.repartition(n, "window").sortWithinPartitions("window").mapInArrow(shared_runs("window"), place_kind)
+    single = compared.where("alone").groupBy("shard").agg(F.collect_list("at").alias("places"))
+    whole = shared.join(contexts.where("total > 1").select("around", "context"), ["around", "context"], "left_semi")
     whole = whole.groupBy("shard").agg(F.collect_set("context").alias("contexts"))
     decided = shards.join(whole, "shard", "left").join(single, "shard", "left").select("shard", "ids", "texts", "contexts", "places")
     return decided.mapInArrow(cut(length), RESULT_KIND)
