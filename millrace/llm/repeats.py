@@ -34,9 +34,9 @@ RESULT_KIND = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint,
 
 def spacing(length: int) -> int:
     """Greatest distance of anchors; a string of ``length`` then has an anchor whose surroundings are inside it."""
-    if length < 60:
+    if length < 60:  # an anchor is up to 2 gaps into a string, and another gap after it must be inside
         raise ValueError("strings of 60 bytes at least can be found")
-    return min(80, length // 5)
+    return min(120, (length - GRAM) // 3)
 
 
 class Shard:

@@ -66,7 +66,7 @@ def test_anchors_depend_on_what_is_around():
     alone = repeats.Shard(pa.array([text]), 400)
     other = repeats.Shard(pa.array(["z" * 77, "q" * 501 + text + "w" * 99, ""]), 400)
     a, b = set(alone.anchors().tolist()), {p - 578 for p in other.anchors().tolist()}
-    inner = range(80, 2000 - 88)
+    inner = range(120, 2000 - 128)
     assert {p for p in a if p in inner} == {p for p in b if p in inner}
 
 
