@@ -11,9 +11,6 @@ SHINGLE = 10
 PERCENT = 75
 ROWS = 3
 BANDS = 10
-#: One in SPARSE shingles (a power of two) stands for a line of more than WHOLE characters in its signature.
-SPARSE = 4
-WHOLE = 128
 
 
 def _shingle_bytes(line: Column) -> Column:
@@ -50,18 +47,14 @@ def line_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def bands(lines: DataFrame, shingle: int, rows: int, count: int) -> DataFrame:
     """(node, keys): for each distinct line the keys of its bands, each of ``rows`` MinHash coordinates.
 
-    Shingles are rows that are hashed and folded to minima before the shuffle; a coordinate is the least hash after a
-    fixed bit pattern is flipped. Shingles whose hash is divisible by SPARSE come before all others in that order, so
-    they alone are folded where a line has more than WHOLE characters, with the same result as if all were.
+    Shingles are rows that are hashed and folded to minima before the shuffle, every shingle of every line; a
+    coordinate is the least hash after a fixed bit pattern is flipped.
     """
     wide = lines.select("node", "line", _shingle_bytes(F.col("line")).alias("data"))  # below the explode: once per line
-    shingles = wide.select("node", "data", F.length("line").alias("n"), F.explode(_places(F.col("line"), shingle)).alias("at"))
-    hashed = shingles.select("node", "n", F.hash(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
-    early = F.col("h").bitwiseAND(SPARSE - 1) == 0
-    chosen = hashed.where(early | (F.col("n") <= WHOLE)).select("node", "h", F.when(early, F.lit(-(2**31)).cast("int")).otherwise(0).alias("first"))
+    shingles = wide.select("node", "data", F.explode(_places(F.col("line"), shingle)).alias("at"))
+    hashed = shingles.select("node", F.hash(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
     flips = [(0x9E3779B1 * (2 * j + 1) ^ (j * 0x85EBCA6B)) % 2**32 - 2**31 for j in range(rows * count)]
-    ranks = [F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(f).cast("int")), 1).bitwiseOR(F.col("first")) for f in flips]
-    least = chosen.groupBy("node").agg(*[F.min(r).alias(f"m{j}") for j, r in enumerate(ranks)])
+    least = hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(f).cast("int"))).alias(f"m{j}") for j, f in enumerate(flips)])
     keys = [F.hash(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(count)]
     return least.select("node", F.array(*keys).alias("keys"))
 

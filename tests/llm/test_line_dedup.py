@@ -80,6 +80,13 @@ def test_repeated_rows_are_one_document(spark, frame):
     assert sorted((r.doc_id, r.removed) for r in ld.removed_lines(docs).collect()) == [(1, []), (1, []), (2, [0])]
 
 
+def test_long_lines_of_few_shingles(spark, frame):
+    units = ["-", "=", "*", "Be ", "+--", "| ", "_ _", "ab", "#", "~"]
+    rows = [(2 * n + k, (u * 151)[: 150 + k]) for n, u in enumerate(units) for k in (0, 1)]
+    got = sorted((r.doc_id, r.removed) for r in ld.removed_lines(frame(rows, "doc_id bigint, text string")).collect())
+    assert got == [(i, [0] if i % 2 else []) for i, _ in rows]
+
+
 def test_no_python_on_the_path(spark):
     plan = op7_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExternalRDD"))
