@@ -1,5 +1,7 @@
 import random
+from operator import eq
 
+import pandas as pd
 import pyarrow.parquet as pq
 
 from millrace.llm import line_dedup as ld
@@ -87,6 +89,21 @@ def test_long_lines_of_few_shingles(spark, frame):
     assert got == [(i, [0] if i % 2 else []) for i, _ in rows]
 
 
+def test_bands_miss_few_pairs_at_the_limit(spark):
+    # Lines of different characters: `same` common shingles, then `own` of each line.
+    cases = [(9, 1, 2), (18, 3, 3), (36, 6, 6), (72, 12, 12), (105, 17, 18), (12, 1, 2), (20, 2, 3), (40, 5, 5), (80, 10, 10), (112, 14, 14)]
+    pairs, rng, rows = 4000, random.Random(7), []
+    for c, (same, *own) in enumerate(cases):
+        for k in range(pairs):
+            head = "".join(chr(rng.randrange(0x4E00, 0x9E00)) for _ in range(same + 9))
+            rows += [((c * pairs + k) * 2 + side, head + "".join(chr(rng.randrange(0xAC00, 0xD700)) for _ in range(n))) for side, n in enumerate(own)]
+    lines = spark.createDataFrame(pd.DataFrame(rows, columns=["node", "line"])).repartition(8)
+    keys = dict(ld.bands(lines, ld.SHINGLE, ld.ROWS, ld.BANDS).rdd.map(tuple).collect())
+    missed = [sum(not any(map(eq, keys[n], keys[n + 1])) for n in range(2 * c * pairs, 2 * (c + 1) * pairs, 2)) / pairs for c in range(len(cases))]
+    print("missed by union size:", [(sum(x), round(x[0] / sum(x), 2), m) for x, m in zip(cases, missed)])
+    assert max(missed) < 0.01
+
+
 def test_no_python_on_the_path(spark):
     plan = op7_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExternalRDD"))
