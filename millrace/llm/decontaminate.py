@@ -1,5 +1,5 @@
 """Benchmark decontamination: texts become templates with typed placeholders, template windows are joined by hash, and
-the placeholders' values must map consistently, so questions with other numbers, names or units are found as well."""
+names and units must map consistently, so questions with other numbers, names or units are found as well."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.texts import BYTE_WORDS, LOWER, mix, slices, span_hashes, spans, utf8, window_hashes
 from millrace.session import settle
@@ -16,6 +16,8 @@ WINDOW = 8
 #: Items with fewer tokens are too common to tell anything and match nothing.
 LEAST_TOKENS = 4
 SHARE = 0.5
+#: An alignment is another question if more than this share of its windows has a name or unit that changes partners.
+CONFLICTS = 0.25
 FILTER_BITS = 24
 
 # Units of measure and number words, as they are written after A-Z is lower-cased.
@@ -97,6 +99,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def windows(texts: pa.Array, widths: list[int], bits: np.ndarray | None, whole: bool) -> tuple[np.ndarray, ...]:
     """Template windows as (text, hash, place, slot values, slots per window, windows of the text).
 
+    A slot value is 59 bits of a hash of the literal, 2 bits of type and 3 bits of its place in the window.
     There are two views of a text: with all placeholders, and with names left as lower-cased words, which finds copies
     whose case was changed. ``whole`` (for items) gives a text shorter than the window one window of its own length
     and takes no other widths; without it every width is tried. ``bits`` keeps only windows that the filter has.
@@ -119,7 +122,9 @@ def windows(texts: pa.Array, widths: list[int], bits: np.ndarray | None, whole:
                 keep &= in_filter(hashed, bits)
             hashed, at = hashed[keep], at[keep]
             inside = typed[at[:, None] + np.arange(width)] != PLAIN if len(at) else np.zeros((0, width), bool)
-            slots = values[(at[:, None] + np.arange(width))[inside]]
+            places = (at[:, None] + np.arange(width))[inside]
+            within = np.broadcast_to(np.arange(width), inside.shape)[inside]
+            slots = values[places] & ~np.uint64(31) | (kind[places].astype(np.uint64) << np.uint64(3)) | within.astype(np.uint64)
             found.append((owner[at], hashed, at - first[owner[at]], slots, inside.sum(1), np.maximum(counts[owner[at]] - WINDOW + 1, 1)))
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -157,13 +162,33 @@ def window_filter(items: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
+def _value(slot: Column) -> Column:
+    """A slot's type and literal, without its place."""
+    return F.shiftright(slot, 3)
+
+
+def _conflicts(hits: DataFrame) -> DataFrame:
+    """(doc_id, item_id, shift, bad): alignments with the pairs of names or units that depart from their partners."""
+    kind = lambda p: _value(p["slots"]).bitwiseAND(3)
+    line = ["doc_id", "item_id", "shift"]
+    named = hits.select(*line, "at", F.explode(F.filter(F.arrays_zip("slots", "doc_slots"), lambda p: kind(p) != NUMBER)).alias("p"))
+    place = F.col("at") + F.col("p.slots").bitwiseAND(7)
+    pairs = named.select(*line, place.alias("place"), _value(F.col("p.slots")).alias("x"), _value(F.col("p.doc_slots")).alias("y")).distinct()
+    votes = pairs.groupBy(*line, "x", "y").agg(F.count("*").alias("n"))
+    of = lambda side: F.sum("n").over(Window.partitionBy(*line, side))
+    odd = votes.withColumn("of_x", of("x")).withColumn("of_y", of("y")).where("n * 2 <= of_x OR n * 2 <= of_y")
+    return odd.groupBy(*line).agg(F.collect_set(F.struct("x", "y")).alias("bad"))
+
+
 def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, n_matched, n_windows, same_values.
 
     A document holds an item if windows of WINDOW tokens that match as templates cover ``share`` of the item's windows.
-    Windows count along alignments (document place minus item place) whose placeholder values map one to one between
-    item and document; same_values tells that all of them are equal, i.e. that the item stands there unchanged. Items
-    of LEAST_TOKENS to WINDOW - 1 tokens have one window, shorter ones and nulls none. Document windows are matched
+    Windows count along alignments (document place minus item place). Numbers may become any numbers. A name or unit
+    must keep its partner: the value that stands for it at more than half of its places, and the other way round.
+    Windows with a value that departs from this do not count, and if they are over CONFLICTS of an alignment's, it is
+    another question. Windows whose values are all equal always count. same_values tells that all counted windows
+    are such, i.e. that what was found stands there unchanged. Items of LEAST_TOKENS to WINDOW - 1 tokens have one window, shorter ones and nulls none. Document windows are matched
     with a filter of fixed size before anything is shuffled, so text that no item resembles goes no further. Null and
     empty texts hold nothing; rows that repeat an id count as one document, and so do all rows without an id.
     """
@@ -179,11 +204,19 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str =
     seen = seen.select(F.col("id").alias("doc_id"), "hash", F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots"))
     hits = seen.join(known.select(F.col("id").alias("item_id"), "hash", "at", "slots", "n_windows"), "hash")
     hits = hits.where(F.size("slots") == F.size("doc_slots")).withColumn("shift", F.col("doc_at") - F.col("at"))
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "doc_slots"))))
-    lines = hits.groupBy("doc_id", "item_id", "shift").agg(pairs.alias("pairs"), F.collect_set("at").alias("places"), F.max("n_windows").alias("n_windows"))
-    one_to_one = (F.size(F.array_distinct("pairs.slots")) == F.size("pairs")) & (F.size(F.array_distinct("pairs.doc_slots")) == F.size("pairs"))
-    equal = F.forall("pairs", lambda p: p["slots"] == p["doc_slots"])
-    sound = lines.where(one_to_one).select("doc_id", "item_id", "n_windows", equal.alias("equal"), F.explode("places").alias("at"))
+    hits = settle(hits.select("doc_id", "item_id", "shift", "at", "slots", "doc_slots", "n_windows"), "hits")
+    bad = _conflicts(hits).select(F.col("doc_id").alias("__doc"), F.col("item_id").alias("__item"), F.col("shift").alias("__shift"), "bad")
+    same_line = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("item_id").eqNullSafe(F.col("__item")) & (F.col("shift") == F.col("__shift"))
+    judged = hits.join(bad, same_line, "left")
+    changing = F.exists(F.arrays_zip("slots", "doc_slots"), lambda p: F.array_contains("bad", F.struct(_value(p["slots"]).alias("x"), _value(p["doc_slots"]).alias("y"))))
+    equal = F.col("slots") == F.col("doc_slots")
+    judged = judged.withColumn("equal", equal).withColumn("sound", equal | F.col("bad").isNull() | ~changing)
+    line = ["doc_id", "item_id", "shift"]
+    placed = judged.groupBy(*line, "at").agg(F.max("equal").alias("exact"), F.max("sound").alias("sound"), F.min(F.when(F.col("sound"), F.col("equal"))).alias("equal"), F.max("n_windows").alias("n_windows"))
+    taken = lambda which: F.collect_list(F.when(F.col(which), F.struct("at", F.col("equal") if which == "sound" else F.lit(True).alias("equal"))))
+    lines = placed.groupBy(*line).agg(F.avg((~F.col("sound")).cast("int")).alias("conflicts"), taken("sound").alias("sound"), taken("exact").alias("exact"), F.max("n_windows").alias("n_windows"))
+    places = F.when(F.col("conflicts") <= CONFLICTS, F.col("sound")).otherwise(F.col("exact"))
+    sound = lines.select("doc_id", "item_id", "n_windows", F.inline(places))
     found = sound.groupBy("doc_id", "item_id").agg(F.count_distinct("at").cast("bigint").alias("n_matched"), F.max("n_windows").cast("bigint").alias("n_windows"), F.min("equal").alias("same_values"))
     return found.where(F.col("n_matched") >= F.col("n_windows") * F.lit(share))
 

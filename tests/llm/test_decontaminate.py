@@ -81,6 +81,24 @@ def test_templates(spark, frame):
         assert dc.leaks(frame(a, "doc_id bigint, text string"), frame(b, "item_id bigint, text string")).count() == 0
 
 
+def test_values_that_coincide_or_part(spark, frame):
+    rest = ["w" + chr(97 + n // 8) + chr(97 + n % 8) for n in range(60)]
+    met = "Anna has 4 red marbles in a box and Ben has 6 blue marbles in a bag. how many marbles are there in total?"
+    twice = "a basket holds 3 apples and 3 pears on the table. how many pieces of fruit are in the basket now?"
+    items = [(1, met), (2, twice), (3, " ".join(["Anna lives here and", *rest[:30], "then Anna goes away again", *rest[30:]]))]
+    docs = [
+        (1, met.replace("Anna", "Maria").replace("Ben", "Otto").replace("4", "5").replace("6", "5")),
+        (2, twice.replace("3 apples", "4 apples").replace("3 pears", "5 pears")),
+        (3, items[2][1].replace("then Anna", "then Maria")),
+        (4, items[2][1].replace("then Anna", "then Maria").replace("Anna", "Otto")),
+        (5, met.replace("Anna", "Maria").replace("Ben", "Maria")),
+    ]
+    got = dc.leaks(frame(docs, "doc_id bigint, text string"), frame(items, "item_id bigint, text string")).collect()
+    found = {(r.doc_id, r.item_id): (r.n_windows - r.n_matched, r.same_values) for r in got}
+    # The two places of Anna that part ways cost windows (one at the very start, eight inside), not the alignment.
+    assert found == {(1, 1): (0, False), (2, 2): (0, False), (3, 3): (8, True), (4, 3): (9, True)}
+
+
 def test_tokens_against_a_pattern():
     texts = ["", None, "Élan vital École 5kg, 1,000.5 m. 3. 4,", "TWO Km Two km", "a.1.b,2,3", "×Ünï ÷", "7", "end 9.", "5 M x"]
     hashes, kinds, owner = dc.tokens(pa.array(texts))
