@@ -19,7 +19,6 @@ from millrace.session import fresh_dir, settle
 VITALS = ["age_days", "height_cm", "weight_kg", "ap_hi", "ap_lo", "cholesterol", "smoke"]
 MATRIX = ["fm_amt_income", "fm_region", "fm_percentile_target", "case_id"]
 LINE = ["price", "l_discount", "l_tax", "l_quantity"]
-SMALL_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5], "minInstancesPerNode": [1]}
 
 
 def sides(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +56,7 @@ def credit_models(t: Tables) -> DataFrame:
     train, test = matrix_sets(t)
     fits = {
         "logistic_regression": md.fit_logistic(train, MATRIX, "fm_target"),
-        "random_forest": md.fit_forest(train, MATRIX, "fm_target", trees=20, depth=5),
+        "random_forest": md.fit_forest(train, MATRIX, "fm_target"),
     }
     frames = [(n, md.with_probability(m, test, MATRIX, ["fm_target"])) for n, m in fits.items()]
     table = mt.compare_models(frames, "fm_target", "p")
@@ -65,22 +64,22 @@ def credit_models(t: Tables) -> DataFrame:
     return table.withColumn("best", F.col("model") == best)
 
 
-def vital_fit(fit, name: str, **options):
+def vital_fit(fit, name: str):
     def run(t: Tables) -> DataFrame:
         train, test = vital_sets(t)
-        return judged(fit(train, VITALS, "heavy", **options), test, VITALS, "heavy", name)
+        return judged(fit(train, VITALS, "heavy"), test, VITALS, "heavy", name)
 
     return run
 
 
 def tree_table(t: Tables) -> DataFrame:
     train, _ = vital_sets(t)
-    return md.importances(t.spark, md.fit_tree(train, VITALS, "heavy", depth=6), VITALS)
+    return md.importances(t.spark, md.fit_tree(train, VITALS, "heavy"), VITALS)
 
 
 def grid_table(t: Tables) -> DataFrame:
     train, _ = vital_sets(t)
-    return md.grid_tree(train, VITALS, "heavy", SMALL_GRID)[1]
+    return md.grid_tree(train, VITALS, "heavy")[1]
 
 
 def path_table(kind: str):
@@ -156,9 +155,9 @@ def register(r: Registry) -> None:
     r.add("features_target", "ML1", lambda t: md.features_target(t.matrix, leaks=["fm_sparse"]),
           "SELECT fm_target, fm_amt_income, fm_name_segment, fm_region, fm_percentile_target, case_id FROM v_matrix")
     r.add("credit_models", "ML2,ML3,ML14", credit_models)
-    r.add("forest_metrics", "ML3", vital_fit(md.fit_forest, "random_forest", trees=20, depth=5))
-    r.add("svm_metrics", "ML4", vital_fit(md.fit_svm, "linear_svm", max_iter=20))
-    r.add("fourier_svm_metrics", "ML5", vital_fit(md.fit_rff_svm, "fourier_svm", d=64, max_iter=20))
+    r.add("forest_metrics", "ML3", vital_fit(md.fit_forest, "random_forest"))
+    r.add("svm_metrics", "ML4", vital_fit(md.fit_svm, "linear_svm"))
+    r.add("fourier_svm_metrics", "ML5", vital_fit(md.fit_rff_svm, "fourier_svm"))
     r.add("tree_importances", "ML6", tree_table)
     r.add("grid_tree", "ML7", grid_table)
     r.add("ols_single", "ML15", single_feature,

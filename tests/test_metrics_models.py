@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF
 from millrace.operators import metrics as mt
 from millrace.operators import models as md
 from millrace.session import fresh_dir
@@ -217,3 +218,26 @@ def test_grams_leave_incomplete_rows_out_at_any_width(frame):
         names = [f"c{i}" for i in range(width)]
         whole = collect_gram(frame(rows, kind), names)
         assert (collect_gram(frame(rows + holes, kind).repartition(5), names) == whole).all()
+
+
+@pytest.mark.parametrize("query, learner, settings", [
+    ("credit_models", "RandomForestClassifier", {"numTrees": 300, "maxDepth": 10}),
+    ("forest_metrics", "RandomForestClassifier", {"numTrees": 300, "maxDepth": 10}),
+    ("tree_importances", "DecisionTreeClassifier", {"maxDepth": 30}),
+    ("svm_metrics", "LinearSVC", {"maxIter": 100}),
+    ("fourier_svm_metrics", "LinearSVC", {"maxIter": 100}),
+    ("grid_tree", "CrossValidator", {"estimatorParamMaps": 24}),
+])
+def test_queries_fit_the_whole_model(tables, monkeypatch, query, learner, settings):
+    from millrace.plans.all_queries import REGISTRY
+
+    class Asked(Exception):
+        pass
+
+    def ask(**options):
+        raise Asked({k: len(v) if isinstance(v, list) else v for k, v in options.items() if k in settings})
+
+    monkeypatch.setattr(md, learner, ask)
+    with pytest.raises(Asked) as asked:
+        REGISTRY.queries()[query](tables.spark, SF)
+    assert asked.value.args[0] == settings
