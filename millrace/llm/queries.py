@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, repeats, sharding, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +61,25 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_repeats, op2_fingerprints, op3_near_duplicates, op4_token_counts, op5_pieces, op6_decontamination, op7_line_dedup, op8_warc, op9_language, op10_shards)}
+    every = (
+        op1_repeats,
+        op2_fingerprints,
+        op3_near_duplicates,
+        op4_token_counts,
+        op5_pieces,
+        op6_decontamination,
+        op7_line_dedup,
+        op8_warc,
+        op9_language,
+        op10_shards,
+        op12_prefix_trie,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
