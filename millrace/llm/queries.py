@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, structure_repair, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_repeats,
@@ -78,6 +82,7 @@ def queries() -> dict[str, Query]:
         op9_language,
         op10_shards,
         op12_prefix_trie,
+        op13_structure_repair,
     )
     return {f.__name__: f for f in every}
 
