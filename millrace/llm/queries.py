@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, structure_repair, tokens, warc
+from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, simhash, structure_repair, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(documents(spark, sf_dir))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -81,6 +85,7 @@ def queries() -> dict[str, Query]:
         op8_warc,
         op9_language,
         op10_shards,
+        op11_simhash,
         op12_prefix_trie,
         op13_structure_repair,
     )
