@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -26,7 +28,22 @@ def plain_tokens(text):
     return out
 
 
+def conflicts(pairs):
+    """Of (place, x, y) at one alignment the departing pairs of names and units, and of numbers."""
+    pairs = {(p, x, y) for p, x, y in pairs}
+    votes = Counter((x, y) for _, x, y in pairs)
+    names, numbers = set(), set()
+    for (x, y), n in votes.items():
+        if x[1] == "number":
+            numbers |= {(x, y)} if max(v for (o, _), v in votes.items() if o == x) > n else set()
+        else:
+            of = [sum(v for k, v in votes.items() if k[side] == (x, y)[side] and k[0][1] != "number") for side in (0, 1)]
+            names |= {(x, y)} if n * 2 <= max(of) else set()
+    return names, numbers
+
+
 def brute(docs, items):
+    """The rule of ``leaks`` in plain loops; numbers of equal votes are not told apart here, so tests avoid them."""
     found = []
     for item, item_text in items:
         a = plain_tokens(item_text)
@@ -34,22 +51,41 @@ def brute(docs, items):
             continue
         width = min(dc.WINDOW, len(a))
         total = len(a) - width + 1
+        cut = lambda t, names: t[0] if not t[1] or (t[1] == "name" and not names) else f"<{t[1]}>"
+        views, worded = {}, {}
+        for names in (True, False):
+            templates = [tuple(cut(t, names) for t in a[i : i + width]) for i in range(total)]
+            often = Counter(templates)
+            for i, t in enumerate(templates):
+                if often[t] <= dc.REPEATS and len({w for w in t if w[0] != "<"}) >= dc.least_plain(width):
+                    views.setdefault((names, t), []).append(i)
+                elif not names:
+                    worded.setdefault(tuple(w for w, _ in a[i : i + width]), []).append(i)
         for doc, text in docs:
-            b, lines = plain_tokens(text), {}
-            for names in (True, False):
-                cut = lambda t: t[0] if not t[1] or (t[1] == "name" and not names) else f"<{t[1]}>"
-                at = {}
-                for i in range(total):
-                    at.setdefault(tuple(map(cut, a[i : i + width])), []).append(i)
-                for j in range(len(b) - width + 1):
-                    for i in at.get(tuple(map(cut, b[j : j + width])), []):
-                        own = lines.setdefault(j - i, (set(), set()))
-                        own[0].add(i)
-                        own[1].update((x, y) for x, y in zip(a[i : i + width], b[j : j + width]) if cut(x)[0] == "<")
-            good = [(p, s) for p, s in lines.values() if len({x for x, _ in s}) == len({y for _, y in s}) == len(s)]
-            covered = set().union(*(p for p, _ in good)) if good else set()
+            b, lines, counted = plain_tokens(text), {}, []
+            for j in range(len(b) - width + 1):
+                counted += [(i, True) for i in worded.get(tuple(w for w, _ in b[j : j + width]), [])]
+                for names in (True, False):
+                    for i in views.get((names, tuple(cut(t, names) for t in b[j : j + width])), []):
+                        slots = [(i + k, a[i + k], b[j + k]) for k in range(width) if cut(a[i + k], names)[0] == "<"]
+                        lines.setdefault(j - i, []).append((i, slots))
+            for hits in lines.values():
+                names, numbers = conflicts([s for _, slots in hits for s in slots])
+                judged = {}
+                for i, slots in hits:
+                    equal = all(x[0] == y[0] for _, x, y in slots)
+                    kept = equal or not any((x, y) in names for _, x, y in slots)
+                    sound = kept and (equal or not any((x, y) in numbers for _, x, y in slots))
+                    judged.setdefault(i, []).append((equal, kept, sound))
+                odd = sum(not any(k for _, k, _ in v) for v in judged.values()) / len(judged)
+                for i, v in judged.items():
+                    if odd <= dc.CONFLICTS and any(s for _, _, s in v):
+                        counted.append((i, all(e for e, _, s in v if s)))
+                    elif odd > dc.CONFLICTS and any(e for e, _, _ in v):
+                        counted.append((i, True))
+            covered = {i for i, _ in counted}
             if covered and len(covered) >= total * dc.SHARE:
-                found.append((doc, item, len(covered), total, all(x == y for _, s in good for x, y in s)))
+                found.append((doc, item, len(covered), total, all(e for _, e in counted)))
     return sorted(found)
 
 
@@ -96,7 +132,70 @@ def test_values_that_coincide_or_part(spark, frame):
     got = dc.leaks(frame(docs, "doc_id bigint, text string"), frame(items, "item_id bigint, text string")).collect()
     found = {(r.doc_id, r.item_id): (r.n_windows - r.n_matched, r.same_values) for r in got}
     # The two places of Anna that part ways cost windows (one at the very start, eight inside), not the alignment.
-    assert found == {(1, 1): (0, False), (2, 2): (0, False), (3, 3): (8, True), (4, 3): (9, True)}
+    # Of one number that became two, one goes on as its partner; windows with the other do not count.
+    assert 0 < found[2, 2][0] <= 8 and not found.pop((2, 2))[1]
+    assert found == {(1, 1): (0, False), (3, 3): (8, True), (4, 3): (9, True)}
+
+
+def test_changed_items_against_plain_loops(spark, frame):
+    rng = random.Random(6)
+    names, units = ["Anna", "Ben", "Carl", "Dora", "Emil"], ["km", "kg", "hours", "dollars"]
+    words = ["has", "buys", "sells", "gives", "red", "blue", "old", "boxes", "apples", "and", "to", "for", "each", "day", "then", "with", "more"]
+
+    def question():
+        pick = lambda: rng.choices([rng.choice(words), rng.choice(names), str(rng.randint(1, 9)), f"{rng.randint(1, 9)} {rng.choice(units)}"], [6, 1, 1, 1])[0]
+        return " ".join(pick() for _ in range(rng.randint(3, 40)))
+
+    def changed(text):
+        swap = {n: rng.choice(names) for n in names} | {u: rng.choice(units) for u in units} | {str(n): str(rng.randint(1, 99)) for n in range(10)}
+        return " ".join(swap.get(w, w) if rng.random() < 0.95 else rng.choice(words) for w in text.split())
+
+    items = [(i, question()) for i in range(60)] + [(100, "1 2 3 4 5 6 7 8 9 10 11 12"), (101, "a 1 b 2 " * 12), (102, ITEM)]
+    docs = [(i, f"{question()} {changed(t)} {question()}") for i, t in items] + [(1000 + i, t.lower()) for i, t in items] + [(2000, "10 20 30 40 " * 30), (2001, "prices 1 2 3 4 5 6 7 8 9 10 11 12 end"), (2002, "a 3 b 4 " * 20)]
+    got = {(r.doc_id, r.item_id): tuple(r) for r in dc.leaks(frame(docs, "doc_id bigint, text string"), frame(items, "item_id bigint, text string")).collect()}
+    want = {(r[0], r[1]): r for r in brute(docs, items)}
+    # Ties between numbers are broken by hash; there the share may differ by the windows of one value.
+    assert len(want) > 60 and (2000, 100) not in got and (2001, 100) in got and (2002, 101) not in got
+    same = sum(got.get(k) == v for k, v in want.items())
+    assert same >= 0.9 * len(want) and len(set(got) ^ set(want)) <= 0.05 * len(want)
+
+
+def test_recall_of_other_values(spark, frame):
+    rng = random.Random(8)
+    people = ["Anna", "Ben", "Carl", "Dora", "Emil", "Fay", "Gus", "Hana", "Ivo", "Jana"]
+    things = ["apples", "pencils", "tickets", "stones", "cards", "cups", "shells", "coins"]
+
+    def problem():
+        p, q = rng.sample(people, 2)
+        t, n = rng.choice(things), [rng.randint(2, 90) for _ in range(4)]
+        forms = [
+            (f"{{0}} has {{2}} {t} in a drawer and {{1}} brings {{3}} more of them from school. {{0}} then gives away {{4}} {t} to a friend. How many {t} are left for {{0}} and {{1}} together?"),
+            (f"A shop sells {t} for {{2}} dollars each. {{0}} buys {{3}} of them on the first day and {{1}} buys {{4}} on the second day. What do both of them pay in the end?"),
+            (f"If {{0}} walks {{2}} km every morning for {{3}} days while {{1}} rides {{4}} km in the same time, who of the two has come farther and by how much?"),
+        ]
+        return rng.choice(forms), (p, q, *n[:3])
+
+    items, docs = [], []
+    for i in range(300):
+        form, values = problem()
+        items.append((i, form.format(*values)))
+        docs.append((i, "Some text before. " + form.format(*rng.sample(people, 2), *[rng.randint(2, 90) for _ in range(3)]) + " Some text after."))
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(frame(docs, "doc_id bigint, text string"), frame(items, "item_id bigint, text string")).collect()}
+    recall = sum((i, i) in got for i in range(300)) / 300
+    print("recall of re-parameterised items:", recall)
+    assert recall >= 0.9
+
+
+def test_rows_of_repeated_templates_are_linear(spark, frame, monkeypatch):
+    made = []
+    monkeypatch.setattr(dc, "settle", lambda df, name, settle=dc.settle: (out := settle(df, name), made.append((name, out.count())))[0])
+    for n in (400, 800):
+        for unit in ("{} ", "page {} of the {} parts and "):
+            made.clear()
+            text = lambda k: " ".join(unit.format(i, i + 1) for i in range(k))
+            dc.leaks(frame([(1, text(n))], "doc_id bigint, text string"), frame([(1, text(n // 8))], "item_id bigint, text string")).count()
+            tokens = n * (unit.count(" ") or 1)
+            assert all(rows <= (dc.REPEATS + 2) * tokens for _, rows in made), (n, unit, made)
 
 
 def test_tokens_against_a_pattern():
