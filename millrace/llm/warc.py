@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.session import fresh_dir, settle
 
 BLOCK_LINES = 3_000
+#: Index lines and archive bytes for which one task is planned; small inputs get the session's shuffle partitions.
+PART_LINES = 300_000
+TASK_BYTES = 64 << 20
 LEVEL = 4
 URN = "urn:page:"
 NO_URL = "about:blank"
@@ -170,6 +175,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     return settle(with_responses(pages, least).mapInArrow(write, CAPTURE), "captures")
 
 
+def _tasks(df: DataFrame, least: float) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(least))
+
+
 def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
     """Sorts captures by key into compressed blocks of ``block_lines`` lines; returns the block directory, written.
 
@@ -207,7 +216,7 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         if out:
             out.close()
 
-    ordered = captures.select(*fields).repartitionByRange("surt", "page_id").sortWithinPartitions("surt", "page_id", "file", "offset")
+    ordered = captures.select(*fields).repartitionByRange(_tasks(captures, captures.count() / PART_LINES), "surt", "page_id").sortWithinPartitions("surt", "page_id", "file", "offset")
     return settle(ordered.mapInArrow(write, DIRECTORY), "directory")
 
 
@@ -219,38 +228,65 @@ def _read_at(stores: dict, folder: str, name: str, offset: int, length: int) ->
     return stores[name].read_at(length, offset)
 
 
-def captures_in(directory: DataFrame, folder: str, keys: list[str] | None = None) -> DataFrame:
-    """Captures of the directory's blocks, read by range; with ``keys``, only those of blocks that can hold one.
-
-    The directory is filtered by its first and last keys, then each block is searched by bisection.
-    """
-    wanted = None if keys is None else sorted(set(keys))
+def captures_in(directory: DataFrame, folder: str) -> DataFrame:
+    """All captures of the directory's blocks, read by range."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_left, bisect_right
-
         stores: dict = {}
         for batch in batches:
             for r in batch.to_pylist():
-                table = pa.ipc.open_stream(zlib.decompress(_read_at(stores, folder, r["file"], r["offset"], r["length"]))).read_all()
-                if wanted is None:
-                    yield from table.to_batches()
-                    continue
-                own = table["surt"].to_pylist()
-                for key in wanted[bisect_left(wanted, own[0]) : bisect_right(wanted, own[-1])]:
-                    yield from table.slice(a := bisect_left(own, key), bisect_right(own, key) - a).to_batches()
-
-    blocks = directory
-    if wanted is not None:
-        ranges = [(F.col("first_key") <= k) & (F.col("last_key") >= k) for k in wanted]
-        while len(ranges) > 1:  # a balanced tree of conditions
-            ranges = [ranges[i] | ranges[i + 1] if i + 1 < len(ranges) else ranges[i] for i in range(0, len(ranges), 2)]
-        blocks = blocks.where(ranges[0] if ranges else F.lit(False))
-    return blocks.mapInArrow(read, CAPTURE)
+                yield from _block(stores, folder, r).to_batches()
+
+    return directory.mapInArrow(read, CAPTURE)
+
+
+def _block(stores: dict, folder: str, r: dict) -> pa.Table:
+    return pa.ipc.open_stream(zlib.decompress(_read_at(stores, folder, r["file"], r["offset"], r["length"]))).read_all()
+
+
+def captures_of(directory: DataFrame, folder: str, keys: DataFrame) -> DataFrame:
+    """Captures of the keys (column surt), found by three binary searches: part of the index, block, line.
+
+    The first and last key of each part of the index (as many rows as the index has files) go to all tasks, which send
+    every key to the parts that can hold it. There a key's blocks are found in the part's directory rows, and its lines
+    in each such block. Blocks without a key that falls between their first and last are never read. A key with
+    captures in several blocks or parts gets them all; repeated keys count once, null and unknown ones find nothing.
+    """
+    ends = directory.groupBy("part").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high")).orderBy("part").collect()
+    low, high, parts = ([r[c] for r in ends] for c in ("low", "high", "part"))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, str]] = []
+            for key in batch["surt"].to_pylist():
+                # Parts are in order of keys, so those that can hold one are neighbours.
+                out += [(parts[p], key) for p in range(bisect_left(high, key), bisect_right(low, key))]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([k for _, k in out], pa.string())], names=["part", "surt"])
+
+    def search(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
+        rows = blocks.sort_by("offset").to_pylist()
+        first, last, asked = [r["first_key"] for r in rows], [r["last_key"] for r in rows], {}
+        for key in sorted(set(wanted["surt"].to_pylist())):
+            for b in range(bisect_left(last, key), bisect_right(first, key)):
+                asked.setdefault(b, []).append(key)
+        stores: dict = {}
+        out = []
+        for b, own in sorted(asked.items()):
+            table = _block(stores, folder, rows[b])
+            lines = table["surt"].to_pylist()
+            at = [i for key in own for i in range(bisect_left(lines, key), bisect_right(lines, key))]
+            out.append(table.take(pa.array(at, pa.int64())))
+        return pa.concat_tables(out) if out else pa.Table.from_batches([], CAPTURES)
+
+    routed = keys.select("surt").where("surt IS NOT NULL").distinct().mapInArrow(route, "part int, surt string")
+    return routed.groupBy("part").cogroup(directory.groupBy("part")).applyInArrow(search, CAPTURE)
 
 
 def records_at(captures: DataFrame, folder: str) -> DataFrame:
-    """Parsed records of captures, by range reads ordered by archive and offset."""
+    """Parsed records of captures, a written table, by range reads ordered by archive and offset.
+
+    The number of tasks follows from the bytes to be read, not from the size of the rows that name them.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stores: dict = {}
@@ -259,22 +295,26 @@ def records_at(captures: DataFrame, folder: str) -> DataFrame:
                 rows = batch.slice(at, 500).to_pylist()
                 yield pa.RecordBatch.from_pylist([parse(_read_at(stores, folder, r["file"], r["offset"], r["length"])) for r in rows], schema=RECORDS)
 
-    places = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
-    return places.mapInArrow(read, RECORD)
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    places = captures.select("file", "offset", "length").repartitionByRange(_tasks(captures, size / TASK_BYTES), "file", "offset")
+    return places.sortWithinPartitions("file", "offset").mapInArrow(read, RECORD)
 
 
-def lookup(directory: DataFrame, index_folder: str, archive_folder: str, urls: list[str]) -> DataFrame:
-    """Records of the given URLs: directory, then blocks, then archive ranges. Revisits have no payload of their own."""
-    spark = directory.sparkSession
-    keys = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "url string").select(surt(F.col("url"))).collect()]
-    return records_at(captures_in(directory, index_folder, keys), archive_folder)
+def lookup(directory: DataFrame, index_folder: str, archive_folder: str, urls: DataFrame) -> DataFrame:
+    """Records of the given URLs (column url): part, block and line of the index, then archive ranges. Revisits have no
+    payload of their own."""
+    found = captures_of(directory, index_folder, urls.select(surt(F.col("url")).alias("surt")))
+    return records_at(settle(found, "found"), archive_folder)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Writes archives and index of all pages to the shared folder and reads every record back through the index."""
+    """Writes archives and index of all pages to the shared folder and reads every record back by its key.
+
+    Null URLs have a key like others and null payloads are empty; rows that repeat are records of their own; an empty
+    table gives an empty one. Rows of one key are found together, however many they are.
+    """
     root = fresh_dir(pages.sparkSession, "warc")
     captures = write_archives(pages, f"{root}/archives")
     directory = write_index(captures, f"{root}/index")
-    return records_at(captures_in(directory, f"{root}/index"), f"{root}/archives").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
+    found = lookup(directory, f"{root}/index", f"{root}/archives", pages.select(F.col("url").cast("string").alias("url")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
