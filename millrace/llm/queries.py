@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, fingerprints, language, line_dedup, near_dup, pieces, prefix_trie, repeats, sharding, simhash, structure_repair, tokens, warc
+from millrace.llm.queries_sql import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,4 +94,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
