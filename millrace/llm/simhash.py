@@ -212,29 +212,27 @@ def cell_pairs(placed: DataFrame, budget: int = BUDGET, step: int = SPLIT) -> Da
 def links(prints: DataFrame, budget: int = BUDGET, most: int = CELL) -> DataFrame:
     """(a, b): fingerprints that differ in ``budget`` bits at most, enough of them for the same components.
 
-    ``prints`` has a row for each distinct ``print``. Each pair of cells is one group of at most twice ``most``
-    fingerprints; a group writes a spanning forest of its links, so fewer rows than it reads.
+    ``prints`` has a row for each distinct ``print``. A cell is packed into one array of at most ``most`` fingerprints,
+    and a pair of cells is one row with both arrays. Of its links a row gives a spanning forest, so fewer than it has
+    fingerprints.
     """
     placed = cells(prints, most)
-    pairs = cell_pairs(placed, budget)
-    pair = ["a_depth", "a", "b_depth", "b"]
-    ends = pairs.select(*pair, F.col("a_depth").alias("depth"), F.col("a").alias("cell"), F.lit(0).alias("side"))
-    others = pairs.where("a <> b OR a_depth <> b_depth").select(*pair, F.col("b_depth").alias("depth"), F.col("b").alias("cell"), F.lit(1).alias("side"))
-    rows = placed.join(settle(ends.unionByName(others), "ends"), ["depth", "cell"]).select(*pair, "side", "print")
-
-    def join(table: pa.Table) -> pa.Table:
-        side, depth = table["side"].to_numpy(), min(table["a_depth"][0].as_py(), table["b_depth"][0].as_py())
-        prints = table["print"].to_numpy().view(np.uint64)
-        left, right = np.sort(prints[side == 0]), np.sort(prints[side == 1])
-        if not (side == 1).any():
-            right = left
-        out: list[tuple[int, int]] = []
-        parent: dict[int, int] = {}
-        for x, y in trie_pairs(left, right, depth, budget):
-            out += _forest(left[x].view(np.int64), right[y].view(np.int64), parent)
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-    return rows.groupBy(*pair).applyInArrow(join, "a bigint, b bigint")
+    packed = settle(placed.groupBy("depth", "cell").agg(F.collect_list("print").alias("prints")), "packed")
+    side = lambda s: packed.select(F.col("depth").alias(f"{s}_depth"), F.col("cell").alias(s), F.col("prints").alias(f"{s}_prints"))
+    pairs = cell_pairs(placed, budget).join(side("a"), ["a_depth", "a"]).join(side("b"), ["b_depth", "b"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = ((batch[s][row].as_py(), batch[f"{s}_depth"][row].as_py()) for s in "ab")
+                left, right = (np.sort(batch[f"{s}_prints"][row].values.to_numpy().view(np.uint64)) for s in "ab")
+                out: list[tuple[int, int]] = []
+                parent: dict[int, int] = {}
+                for x, y in trie_pairs(left, left if a == b else right, min(a[1], b[1]), budget):
+                    out += _forest(left[x].view(np.int64), right[y].view(np.int64), parent)
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return pairs.select("a_depth", "a", "a_prints", "b_depth", "b", "b_prints").mapInArrow(join, "a bigint, b bigint")
 
 
 def simhash_groups(docs: DataFrame, width: int = WORDS, budget: int = BUDGET) -> DataFrame:
