@@ -10,6 +10,7 @@ single places. No suffixes are sorted again after the shards are built.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.texts import BASE, BYTE_WORDS, mix, plain_docs, powers, slices, utf8
-from millrace.session import settle
+from millrace.session import fresh_dir, settle
 
 LENGTH = 400
 GRAM = 8
@@ -28,8 +29,8 @@ INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 INTERVALS = pa.schema([("around", pa.int64()), ("context", pa.int64()), ("shard", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("n", pa.int32())])
 INTERVAL_KIND = "around bigint, context bigint, shard bigint, low int, high int, n int"
 PLACES = pa.schema([("window", pa.int64()), ("shard", pa.int64()), ("at", pa.int32()), ("alone", pa.bool_())])
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
-RESULT_KIND = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary()), ("kept_text", pa.string())])
+RESULT_KIND = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, kept_text string"
 
 
 def spacing(length: int) -> int:
@@ -105,8 +106,12 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def make_shards(docs: DataFrame) -> DataFrame:
-    """A written table with a row (shard, ids, texts) for about SHARD_BYTES of text; a longer text is one shard."""
+def make_shards(docs: DataFrame, buckets: int) -> DataFrame:
+    """A written table with a row (shard, ids, texts) for about SHARD_BYTES of text; a longer text is one shard.
+
+    The table is bucketed by shard, so this is the one time that texts are shuffled: lists about shards that are joined
+    to it later come to the texts. Its files are in the shared folder; the name is dropped from the catalog at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -114,7 +119,12 @@ def make_shards(docs: DataFrame) -> DataFrame:
             one = lambda a, kind: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a.cast(kind))
             yield pa.RecordBatch.from_arrays([pa.array([(task << 32) + seq]), one(part["doc_id"], pa.int64()), one(part["text"], pa.string())], names=["shard", "ids", "texts"])
 
-    return settle(docs.mapInArrow(run, "shard bigint, ids array<bigint>, texts array<string>"), "shards")
+    spark, name = docs.sparkSession, f"shards_{uuid.uuid4().hex}"
+    shards = docs.mapInArrow(run, "shard bigint, ids array<bigint>, texts array<string>")
+    shards.repartition(buckets, "shard").write.bucketBy(buckets, "shard").option("path", fresh_dir(spark, "shards")).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def _each(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, Shard]]:
@@ -201,19 +211,19 @@ def cut(length: int):
                 own = gone[a:b]
                 rest = shard.data[a:b][~own].tobytes()
                 spans = int(own[0]) + int((own[1:] & ~own[:-1]).sum()) if b > a else 0
-                out.append({"doc_id": i, "n_bytes": int(b - a), "n_removed": int(own.sum()), "n_spans": spans, "kept_sha256": hashlib.sha256(rest).hexdigest(), "kept": rest})
+                out.append({"doc_id": i, "n_bytes": int(b - a), "n_removed": int(own.sum()), "n_spans": spans, "kept_sha256": hashlib.sha256(rest).hexdigest(), "kept": rest, "kept_text": rest.decode("utf-8", "replace")})
             yield pa.RecordBatch.from_pylist(out, schema=RESULT)
 
     return run
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) of every row's whole text.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) and kept_text of every row's whole text.
 
     Every byte goes that is covered by a string of ``length`` bytes which also starts elsewhere, in the same text or
     another; overlaps count, and strings are judged on the input. Null texts are empty; texts shorter than ``length``
     stay whole; copies lose everything, repeated rows and ids are texts like others. Cuts fall on bytes, so ``kept`` need
-    not be valid UTF-8. Strings are compared by 64-bit hashes. A task holds one shard, that is one text or about 1 MB.
+    not be valid UTF-8; ``kept_text`` has a replacement character for what a cut leaves of one. Strings are compared by 64-bit hashes. A task holds one shard, that is one text or about 1 MB.
 
     A run of places with one anchor is a block. Blocks with equal bytes decide all their places at once. Of blocks
     that are equal around their anchors but differ elsewhere, one representative each has all its places compared. A value shared by very many suffixes travels once per shard and context, never as pairs.
@@ -221,7 +231,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = plain_docs(docs).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    shards = make_shards(rows)
+    shards = make_shards(rows, n)
     ordered = shards.select("shard", "texts").mapInArrow(intervals(length), INTERVAL_KIND).repartition(n, "around").sortWithinPartitions("around")
     shared = settle(ordered.mapInArrow(shared_runs("around", "n"), INTERVAL_KIND), "shared")
     contexts = shared.groupBy("around", "context").agg(F.sum("n").alias("total"), F.min(F.struct("shard", "low", "high")).alias("lead"))
@@ -230,15 +240,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     asked = contexts.join(mixed, "around", "left_semi").select("lead.shard", F.struct("lead.low", "lead.high", (F.col("total") == 1).alias("alone")).alias("block"))
     asked = asked.groupBy("shard").agg(F.collect_list("block").alias("asked"))
     place_kind = "window bigint, shard bigint, at int, alone boolean"
-    compared = shards.select("shard", "texts").join(asked, "shard").mapInArrow(places(length), place_kind)
+    # The lists are the side that is hashed: texts are neither shuffled nor sorted for these joins.
+    compared = shards.select("shard", "texts").join(asked.hint("shuffle_hash"), "shard").mapInArrow(places(length), place_kind)
     compared = compared.repartition(n, "window").sortWithinPartitions("window").mapInArrow(shared_runs("window"), place_kind)
     single = compared.where("alone").groupBy("shard").agg(F.collect_list("at").alias("places"))
     whole = shared.join(contexts.where("total > 1").select("around", "context"), ["around", "context"], "left_semi")
     whole = whole.groupBy("shard").agg(F.collect_set("context").alias("contexts"))
-    decided = shards.join(whole, "shard", "left").join(single, "shard", "left").select("shard", "ids", "texts", "contexts", "places")
+    decided = shards.join(whole.hint("shuffle_hash"), "shard", "left").join(single.hint("shuffle_hash"), "shard", "left").select("shard", "ids", "texts", "contexts", "places")
     return decided.mapInArrow(cut(length), RESULT_KIND)
 
 
 def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``without_repeats`` without the bytes themselves."""
+    """``without_repeats`` with the text that stays in place of its bytes."""
     return without_repeats(docs, length).drop("kept")

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -29,7 +30,9 @@ def brute(rows, length):
 
 def test_op1(spark):
     table = pq.read_table(f"{SF}/documents.parquet")
-    got = sorted(map(tuple, op1_repeats(spark, SF).collect()), key=repr)
+    found = op1_repeats(spark, SF).collect()
+    assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in found if "\ufffd" not in r.kept_text)
+    got = sorted((tuple(r)[:5] for r in found), key=repr)
     assert got == brute(list(zip(table["doc_id"].to_pylist(), table["text"].to_pylist())), 400) and sum(r[2] for r in got) > 1000
 
 
@@ -52,6 +55,31 @@ def test_odd_rows(spark, frame):
     assert repeats.removal_digest(docs.limit(0)).count() == 0
 
 
+def test_planted_passages_go_and_clean_texts_stay(spark, frame):
+    rng = random.Random(15)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    passages = [words(90) for _ in range(5)]
+    planted = [(i, f"{words(40)} {passages[i % 5]} {words(60)}") for i in range(40)]
+    clean = [(100 + i, words(rng.randint(1, 300))) for i in range(40)]
+    got = {r.doc_id: r for r in repeats.removal_digest(frame(planted + clean, "doc_id bigint, text string").repartition(5)).collect()}
+    assert all(not any(p in got[i].kept_text for p in passages) and got[i].n_removed >= 400 for i, _ in planted)
+    assert all(got[i].kept_text == t and got[i].n_removed == 0 for i, t in clean)
+
+
+def test_texts_of_several_megabytes(spark, frame):
+    rng = random.Random(16)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(1_300_000))
+    rows = [(1, long), (2, long[700_000:700_500] + "z" * 100), (3, "short")]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in repeats.removal_digest(frame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (1_300_000, 500, 1), 2: (600, 500, 1), 3: (5, 0, 0)}
+
+
+def test_texts_are_shuffled_once(spark):
+    plan = spark._sc._jvm.PythonSQLUtils.explainString(op1_repeats(spark, SF)._jdf.queryExecution(), "formatted")
+    moved = [node for node in plan.split("\n\n") if re.match(r"\(\d+\) (Exchange|Sort)\b", node.strip())]
+    assert moved and not any("texts" in node for node in moved)
+
+
 def test_blocks_cover_every_place():
     texts = [t or "" for _, t in odd_rows()]
     shard = repeats.Shard(pa.array(texts), 400)
