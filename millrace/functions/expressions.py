@@ -48,6 +48,12 @@ def mentions(text: Column, phrases: Sequence[str]) -> Column:
     return text.rlike("|".join(re.escape(p) for p in phrases))
 
 
+def correlation(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation over rows that have both; null with fewer than two of them or without spread."""
+    spread = F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b))
+    return F.try_divide(F.regr_sxy(a, b), spread)
+
+
 def sample_skewness(name: str) -> Column:
     """Bias-corrected skewness (G1); null below three values or without spread."""
     n = F.count(name).cast("double")

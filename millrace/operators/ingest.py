@@ -9,20 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.expressions import unpack_json
+from millrace.functions.order_stats import slice_in_order
 
 # Days per sales row, SKU length, page limits, customer record
 SALES_DAYS = 14
 SKU_LENGTH = 13
 DEFAULT_LIMIT = 10
 MAX_LIMIT = 100
-CUSTOMER_TEXT = T.StructType(
-    [
-        T.StructField(c, T.StringType())
-        for c in (
-            "customer_id first_name last_name email phone address date_of_birth account_balance created_at"
-        ).split()
-    ]
-)
+CUSTOMER_FIELDS = ("customer_id", "first_name", "last_name", "email", "phone", "address", "date_of_birth", "account_balance", "created_at")
+CUSTOMER_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in CUSTOMER_FIELDS])
 REQUIRED_CUSTOMER = ("customer_id", "first_name", "last_name", "email")
 
 
@@ -118,11 +113,16 @@ def clamp_page(page: int, limit: int) -> tuple[int, int]:
 
 
 def page_query(df: DataFrame, page: int, limit: int, key: Sequence[str]) -> DataFrame:
-    """One page in key order with the total of all rows on every row."""
+    """One page in key order with the total of all rows on every row.
+
+    A page reads its own range of keys, however deep it lies. A page past the end is one row with the total and nulls.
+    """
     page, limit = clamp_page(page, limit)
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    rows = df.orderBy(*key).offset((page - 1) * limit).limit(limit)
-    return rows.withColumn("total", total)
+    rows, total = slice_in_order(df, key, (page - 1) * limit, limit)
+    if (page - 1) * limit >= total:
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+        rows = df.sparkSession.range(1).select(*empty)
+    return rows.withColumn("total", F.lit(total).cast("bigint"))
 
 
 def point_lookup(df: DataFrame, key: str, value: object) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import missing, percent, ratio, sample_kurtosis, sample_skewness, token_list
-from millrace.functions.order_stats import long_values, quantiles
+from millrace.functions.expressions import correlation, missing, percent, ratio, sample_kurtosis, sample_skewness, token_list
+from millrace.functions.gram import pair_correlations
+from millrace.functions.order_stats import long_values, wide_quantiles
 
+SKETCH_ERROR = 0.03
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -53,19 +54,13 @@ def target_rate(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """column, n, mean, std, lowest, q1, median, q3, highest."""
-    extra = {
-        "mean": F.avg("value"),
-        "std": F.stddev_samp("value"),
-        "lowest": F.min("value"),
-        "highest": F.max("value"),
-    }
-    return quantiles(long_values(df, cols), ["column"], "value", QUARTILES, extra, approx, few_groups=True)
+    extra = {"mean": F.avg, "std": F.stddev_samp, "lowest": F.min, "highest": F.max}
+    return wide_quantiles(df, [], cols, QUARTILES, extra, approx)
 
 
 def describe_by(df: DataFrame, cols: Sequence[str], y: str, approx: bool = False) -> DataFrame:
     """Count, mean and quartiles per class and column; the number of classes is not bounded."""
-    long = long_values(df, cols, [y])
-    return quantiles(long, [y, "column"], "value", QUARTILES, {"mean": F.avg("value")}, approx)
+    return wide_quantiles(df, [y], [c for c in cols if c != y], QUARTILES, {"mean": F.avg}, approx)
 
 
 def shape_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -96,11 +91,25 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def classify_numeric(df: DataFrame, cols: Sequence[str], n: int = 20) -> DataFrame:
-    """Distinct count per column and its kind. Values are distinct-ed across the cluster before counting."""
-    values = long_values(df, cols).filter(F.col("value").isNotNull()).distinct()
-    counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
-    kind = F.when(F.col("distinct_values") <= n, "discrete").otherwise("continuous")
-    return counts.withColumn("kind", kind)
+    """column, distinct_values and kind: discrete with its exact count up to ``n`` distinct values, else continuous (null).
+
+    One aggregate of mergeable sketches tells which columns may be discrete. Only their values, few as they are, are
+    distinct-ed and counted; a column with certainly more moves no value. Columns without a value have no row.
+    """
+    value = {c: F.col(c).cast("double") for c in cols}
+    row = df.agg(*[F.approx_count_distinct(value[c], SKETCH_ERROR).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    about = {c: row[f"d{i}"] for i, c in enumerate(cols) if row[f"d{i}"]}
+    few = [c for c in about if about[c] <= 2 * n + 10]
+    kinds = "column string, distinct_values bigint, kind string"
+    found = df.sparkSession.createDataFrame([(c, None, "continuous") for c in about if c not in few], kinds)
+    if not few:
+        return found
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), value[c].alias("value")) for c in few])
+    values = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct()
+    counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("d_"))
+    discrete = F.col("d_") <= n
+    exact = counts.select("column", F.when(discrete, F.col("d_")).alias("distinct_values"), F.when(discrete, "discrete").otherwise("continuous").alias("kind"))
+    return found.unionByName(exact)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -121,34 +130,28 @@ def discrete_histogram(df: DataFrame, col: str) -> DataFrame:
 
 def outlier_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5, approx: bool = False) -> DataFrame:
     """IQR fences per column and the rows outside them; percent is of all rows."""
-    probs = {"q1": 0.25, "q3": 0.75}
-    quart = quantiles(long_values(df, cols), ["column"], "value", probs, approx=approx, few_groups=True)
-    spread = F.col("q3") - F.col("q1")
-    fences = quart.select(
-        F.col("column").alias("c_"),
-        (F.col("q1") - k * spread).alias("lower_fence"),
-        (F.col("q3") + k * spread).alias("upper_fence"),
-    )
-    # one fence row per column name
-    joined = long_values(df, cols).join(F.broadcast(fences), F.col("column") == F.col("c_"))
-    outside = (F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))
-    return joined.groupBy("column", "lower_fence", "upper_fence").agg(
-        F.count_if(outside).alias("outliers"), percent(F.count_if(outside), F.count(F.lit(1))).alias("outlier_percent")
-    )
+    quart = wide_quantiles(df, [], cols, {"q1": 0.25, "q3": 0.75}, approx=approx).collect()  # one row per column
+    fences = {r["column"]: (r["q1"] - k * (r["q3"] - r["q1"]), r["q3"] + k * (r["q3"] - r["q1"])) for r in quart}
+    if not fences:
+        return df.sparkSession.createDataFrame([], "column string, lower_fence double, upper_fence double, outliers bigint, outlier_percent double")
+    names = list(fences)
+    value = [F.col(c).cast("double") for c in names]
+    outside = [F.count_if((v < fences[c][0]) | (v > fences[c][1])).alias(f"o{i}") for i, (c, v) in enumerate(zip(names, value))]
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *outside)
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(fences[c][0]).alias("lower_fence"), F.lit(fences[c][1]).alias("upper_fence"), F.col(f"o{i}").alias("outliers"), percent(F.col(f"o{i}"), F.col("rows")).alias("outlier_percent")) for i, c in enumerate(names)]
+    return counted.select(F.inline(F.array(*cells)))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, both ways, in one pass."""
-    pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    cells += [F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"r{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    cells += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")) for c in cols]
-    return row.select(F.inline(F.array(*cells)))
+    """Pearson correlation of every pair of columns, both ways, over the rows that have both; 1 with itself."""
+    upper = pair_correlations(df, cols)
+    lower = upper.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
+    own = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, corr double")
+    return upper.unionByName(lower).unionByName(own)
 
 
 def target_corr(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
-    row = df.agg(*[F.corr(c, y).alias(c) for c in cols])
+    row = df.agg(*[correlation(c, y).alias(c) for c in cols])
     return sort_abs(row.unpivot([], list(cols), "column", "corr"), "corr", "column")
 
 
@@ -158,10 +161,7 @@ def sort_abs(df: DataFrame, by: str, tie: str) -> DataFrame:
 
 def high_corr(df: DataFrame, cols: Sequence[str], t: float = 0.7) -> DataFrame:
     """Upper-triangle pairs with an absolute correlation above ``t``."""
-    pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*cells))).filter(F.abs("corr") > t)
+    return pair_correlations(df, cols).filter(F.abs("corr") > t)
 
 
 def class_distribution(df: DataFrame, y: str) -> DataFrame:

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import HASH_SPACE, hash32
 from millrace.functions.order_stats import mark_by_hash, take_by_hash
 
-TOP_N_BOUND = 10_000
-
 
 def stratified_sample(df: DataFrame, by: Sequence[str], key: Sequence[str], f: float = 0.05, seed: int = 42) -> DataFrame:
     """max(1, floor(size * f)) rows of every stratum."""
@@ -22,16 +20,21 @@ def normalize_fraction(f: float) -> float:
     return 0.001 if f <= 0 else min(f, 1.0)
 
 
-def sample_fraction(df: DataFrame, f: float, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Rows whose hash lies below the fraction; the row with the smallest hash when there are none."""
+def fraction_condition(df: DataFrame, f: float, key: Sequence[str], seed: int = 42) -> Column | None:
+    """Is the row in the sample of ``df``? None where all rows are."""
     share = normalize_fraction(f)
     if share >= 1.0:
-        return df
+        return None
     limit = int(share * HASH_SPACE)
-    hashed = df.withColumn("hash_", hash32(seed, key))
-    first = hashed.agg(F.min(F.struct("hash_", *key)).alias("m")).scalar()
-    lone = (first.getField("hash_") >= limit) & (F.struct("hash_", *key) == first)
-    return hashed.filter((F.col("hash_") < limit) | lone).drop("hash_")
+    rank = F.struct(hash32(seed, key).alias("hash_"), *key)
+    first = df.agg(F.min(rank).alias("m")).scalar()
+    return (hash32(seed, key) < limit) | ((first.getField("hash_") >= limit) & (rank == first))
+
+
+def sample_fraction(df: DataFrame, f: float, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """Rows whose hash lies below the fraction; the row with the smallest hash when there are none."""
+    chosen = fraction_condition(df, f, key, seed)
+    return df if chosen is None else df.filter(chosen)
 
 
 def split(df: DataFrame, key: Sequence[str], test: float = 0.2, seed: int = 42) -> DataFrame:
@@ -45,7 +48,5 @@ def stratified_split(df: DataFrame, y: str, key: Sequence[str], test: float = 0.
 
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """min(n, rows) rows: a top-n for small n, the slot-wise quota beyond."""
-    if n <= TOP_N_BOUND:
-        return df.orderBy(hash32(seed, key), *key).limit(n)
+    """min(n, rows) rows, the first in hash order; no task holds more than the edge of the quota."""
     return take_by_hash(df, lambda _: F.lit(n), key, (), seed)

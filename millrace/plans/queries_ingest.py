@@ -109,7 +109,15 @@ def register(r: Registry) -> None:
           (SELECT count(DISTINCT customer_key // {PAGE}) FROM v_customer_json) AS pages FROM {parsed}""")
     r.add("page_query", "P15",
           lambda t: ing.page_query(t.customer.select("c_custkey", "c_name"), 3, 500, ["c_custkey"]),
-          """SELECT c_custkey, c_name, (SELECT count(*) FROM customer) AS total FROM customer ORDER BY c_custkey
-          LIMIT 100 OFFSET 200""")
+          """(SELECT c_custkey, c_name, (SELECT count(*) FROM customer) AS total FROM customer ORDER BY c_custkey LIMIT 100 OFFSET 200)
+          UNION ALL SELECT NULL, NULL, count(*) FROM customer HAVING count(*) <= 200""")
+    r.add("page_deep", "P15",
+          lambda t: ing.page_query(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), 590, 100, ["l_orderkey", "l_linenumber", "l_partkey"]),
+          """(SELECT l_orderkey, l_linenumber, l_partkey, (SELECT count(*) FROM lineitem) AS total FROM lineitem
+          ORDER BY l_orderkey, l_linenumber, l_partkey LIMIT 100 OFFSET 58900)
+          UNION ALL SELECT NULL, NULL, NULL, count(*) FROM lineitem HAVING count(*) <= 58900""")
+    r.add("page_past_end", "P15",
+          lambda t: ing.page_query(t.customer.select("c_custkey", "c_name"), 10_000_000, 100, ["c_custkey"]),
+          """SELECT CAST(NULL AS BIGINT) AS c_custkey, CAST(NULL AS VARCHAR) AS c_name, count(*) AS total FROM customer""")
     r.add("point_lookup", "P16", lambda t: ing.point_lookup(t.customer, "c_name", "Customer#000000042"),
           "SELECT * FROM customer WHERE c_name = 'Customer#000000042'")

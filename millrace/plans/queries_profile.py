@@ -120,7 +120,7 @@ def register(r: Registry) -> None:
         "A19",
         lambda t: p.classify_numeric(t.matrix, ["fm_region", "case_id", "fm_amt_income"]),
         union_all(
-            f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS distinct_values,
+            f"""SELECT '{c}' AS "column", CASE WHEN count(DISTINCT {c}) <= 20 THEN count(DISTINCT {c}) END AS distinct_values,
             CASE WHEN count(DISTINCT {c}) <= 20 THEN 'discrete' ELSE 'continuous' END AS kind FROM v_matrix"""
             for c in ["fm_region", "case_id", "fm_amt_income"]
         ),
