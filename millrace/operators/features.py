@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import missing, sample_skewness, token_list
 from millrace.functions.gram import collect_gram
-from millrace.functions.order_stats import long_values, quantiles, running_totals
+from millrace.functions.order_stats import long_values, running_totals, wide_quantiles
 from millrace.operators.filters import yes_no_value
 from millrace.operators.profile import value_counts
 from millrace.operators.quality import split_columns
@@ -22,6 +22,7 @@ RARE_SHARE = 0.05
 HOT_SHARES = (0.05, 0.95)
 PRUNE_SHARES = (0.02, 0.98)
 BROADCAST_LABELS = 100_000
+MOST_LEVELS = 1_000
 YES_NO = ("family_history", "hypertension", "asthma", "cirrhosis", "other_cancer")
 
 #: Share of a column that rounding may leave after regression on columns that give it exactly.
@@ -31,7 +32,7 @@ COLLINEAR = 1e-10
 def medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, float]:
     if not cols:
         return {}
-    rows = quantiles(long_values(df, cols), ["column"], "value", {"m": 0.5}, approx=approx, few_groups=True)
+    rows = wide_quantiles(df, [], cols, {"m": 0.5}, approx=approx)
     return {row["column"]: row["m"] for row in rows.collect()}  # one row per column
 
 
@@ -151,13 +152,28 @@ def hot_tokens(df: DataFrame, col: str, low: float, high: float) -> list[str]:
 
 
 def multi_hot(df: DataFrame, cols: Sequence[str], low: float = HOT_SHARES[0], high: float = HOT_SHARES[1]) -> DataFrame:
-    """0/1 columns for the common tokens of comma lists in place of the lists."""
-    flags = {}
+    """0/1 columns for the common tokens of comma lists in place of the lists.
+
+    A list is split once for all its tokens. A name that another column or token already has gets a number behind it, in
+    the order of the tokens.
+    """
+    taken = {c for c in df.columns if c not in cols}
+    lists = {col: f"list_{n}_" for n, col in enumerate(cols)}
+    flags: dict[str, Column] = {}
     for col in cols:
         for token in hot_tokens(df, col, low, high):
-            has = F.coalesce(F.array_contains(token_list(F.col(col)), token), F.lit(False))
-            flags[f"{col}_{safe_name(token)}"] = has.cast("int")
-    return df.withColumns(flags).drop(*cols) if flags else df.drop(*cols)
+            base = name = f"{col}_{safe_name(token)}"
+            again = 1
+            while name in taken:
+                again += 1
+                name = f"{base}_{again}"
+            taken.add(name)
+            flags[name] = F.coalesce(F.array_contains(lists[col], token), F.lit(False)).cast("int")
+    if not flags:
+        return df.drop(*cols)
+    # As a generator, so that the split is not repeated in each flag.
+    split = df.select("*", F.inline(F.array(F.struct(*[token_list(F.col(c)).alias(n) for c, n in lists.items()]))))
+    return split.select(*[c for c in df.columns if c not in cols], *[flag.alias(name) for name, flag in flags.items()])
 
 
 def prune_binary(df: DataFrame, cols: Sequence[str], low: float = PRUNE_SHARES[0], high: float = PRUNE_SHARES[1]) -> DataFrame:
@@ -167,10 +183,16 @@ def prune_binary(df: DataFrame, cols: Sequence[str], low: float = PRUNE_SHARES[0
 
 
 def one_hot(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """0/1 columns per level of the training frame but the first; test levels it has not seen are all 0."""
+    """0/1 columns per level of the training frame but the first; test levels it has not seen are all 0.
+
+    A level becomes a column, so a column with over MOST_LEVELS levels is an error; group rare ones first.
+    """
     flags: dict[str, Column] = {}
     for col in cols:
-        levels = sorted(r[0] for r in train.select(col).filter(F.col(col).isNotNull()).distinct().collect())
+        found = train.select(col).filter(F.col(col).isNotNull()).distinct().limit(MOST_LEVELS + 1).collect()
+        if len(found) > MOST_LEVELS:
+            raise ValueError(f"{col} has over {MOST_LEVELS} levels")
+        levels = sorted(r[0] for r in found)
         for level in levels[1:]:
             flags[f"{col}_{level}"] = F.coalesce(F.col(col) == F.lit(level), F.lit(False)).cast("int")
     return tuple(d.withColumns(flags).drop(*cols) if flags else d.drop(*cols) for d in (train, test))
