@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -74,6 +74,23 @@ def _prepared(features: Sequence[str], impute: bool, scale: bool) -> tuple[list,
     return stages, "scaled" if scale else "assembled"
 
 
+def _fit(stages: list, df: DataFrame) -> PipelineModel:
+    """Fits the stages one after another; models keep no training summary.
+
+    A summary holds the session and the training data's plan, which would go into every task that scores, and a session
+    that has observed metrics cannot be sent at all.
+    """
+    fitted: list = []
+    for stage in stages:
+        model = stage.fit(df) if isinstance(stage, Estimator) else stage
+        if getattr(model, "hasSummary", False):
+            model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+        fitted.append(model)
+        if len(fitted) < len(stages):
+            df = model.transform(df)
+    return PipelineModel(fitted)
+
+
 def as_doubles(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in features})
 
@@ -85,7 +102,7 @@ def fit_logistic(df: DataFrame, features: Sequence[str], y: str, c: float = 1.0)
     model = LogisticRegression(
         featuresCol=column, labelCol=y, weightCol="weight_", maxIter=MAX_ITER, regParam=1.0 / (c * rows), standardization=False
     )
-    return Pipeline(stages=[*stages, model]).fit(weighted)
+    return _fit([*stages, model], weighted)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], y: str, trees: int = TREES, depth: int = 10) -> PipelineModel:
@@ -94,14 +111,14 @@ def fit_forest(df: DataFrame, features: Sequence[str], y: str, trees: int = TREE
     model = RandomForestClassifier(
         featuresCol=column, labelCol=y, weightCol="weight_", numTrees=trees, maxDepth=depth, seed=SEED
     )
-    return Pipeline(stages=[*stages, model]).fit(weighted)
+    return _fit([*stages, model], weighted)
 
 
 def fit_svm(df: DataFrame, features: Sequence[str], y: str, reg: float = 1e-3, max_iter: int = 100) -> PipelineModel:
     """Linear SVM whose margin a one-dimensional logistic regression turns into a probability."""
     stages, column = _prepared(features, False, True)
     clean = as_doubles(df, features).dropna(subset=[*features, y])
-    return Pipeline(stages=[*stages, *_margin_stages(column, y, reg, max_iter)]).fit(clean)
+    return _fit([*stages, *_margin_stages(column, y, reg, max_iter)], clean)
 
 
 def _margin_stages(column: str, y: str, reg: float, max_iter: int) -> list:
@@ -161,14 +178,14 @@ def fit_rff_svm(
     weights = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, len(features))) / width
     offsets = rng.uniform(0.0, 2.0 * math.pi, d) - weights @ mean
     waves = fourier_features(clean, features, weights, offsets)
-    model = Pipeline(stages=_margin_stages("waves", y, reg, max_iter)).fit(waves)
+    model = _fit(_margin_stages("waves", y, reg, max_iter), waves)
     return FourierSvm(tuple(features), weights, offsets, model)
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], y: str, depth: int = DEEPEST) -> PipelineModel:
     stages, column = _prepared(features, False, False)
     model = DecisionTreeClassifier(featuresCol=column, labelCol=y, maxDepth=depth, seed=SEED)
-    return Pipeline(stages=[*stages, model]).fit(as_doubles(df, features))
+    return _fit([*stages, model], as_doubles(df, features))
 
 
 def importances(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
@@ -178,9 +195,14 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def grid_tree(df: DataFrame, features: Sequence[str], y: str, grid: dict | None = None, folds: int = 3) -> tuple[PipelineModel, DataFrame]:
-    """Grid search of a tree on the recall of class 1. Spark's tree has no minimum split size; that
-    dimension is left out. Returns the best model and the mean recall of every point."""
+def grid_tree(
+    df: DataFrame, features: Sequence[str], y: str, key: Sequence[str], grid: dict | None = None, folds: int = 3
+) -> tuple[PipelineModel, DataFrame]:
+    """Grid search of a tree on the recall of class 1: the best model, and the mean recall of every point.
+
+    A row's fold follows from the hash of its key, so scores do not depend on how rows are partitioned. Spark's tree has
+    no minimum split size; that dimension is left out.
+    """
     grid = GRID if grid is None else grid
     tree = DecisionTreeClassifier(featuresCol="assembled", labelCol=y, seed=SEED)
     builder = ParamGridBuilder()
@@ -190,9 +212,10 @@ def grid_tree(df: DataFrame, features: Sequence[str], y: str, grid: dict | None
     recall = MulticlassClassificationEvaluator(labelCol=y, metricName="recallByLabel", metricLabel=1.0)
     assembled = VectorAssembler(inputCols=list(features), outputCol="assembled", handleInvalid="keep")
     search = CrossValidator(
-        estimator=tree, estimatorParamMaps=points, evaluator=recall, numFolds=folds, seed=SEED, parallelism=4
+        estimator=tree, estimatorParamMaps=points, evaluator=recall, numFolds=folds, foldCol="fold_", seed=SEED, parallelism=4
     )
-    fitted = search.fit(assembled.transform(as_doubles(df, features)))
+    dealt = as_doubles(df, features).withColumn("fold_", (hash32(SEED, key) % folds).cast("int"))
+    fitted = search.fit(assembled.transform(dealt))
     rows = [
         (*[str({p.name: v for p, v in point.items()}[name]) for name in grid], float(score))
         for point, score in zip(points, fitted.avgMetrics, strict=True)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import quality as q
-from millrace.operators.features import ordinal_encode
-from millrace.operators.sampling import sample_fraction
+from millrace.operators.features import apply_labels, fit_labels
+from millrace.operators.sampling import fraction_condition
 from millrace.session import settle
 from millrace.sources.tables import catalog, kind_by_schema, read_table, schema_contract, write_table
 
@@ -46,94 +47,140 @@ def ml_ready(cfg: Config) -> Config:
     return replace(cfg, dedup_keys=READY_KEYS, outlier_method="iqr_cap")
 
 
+def cast_rules(text: str) -> dict[str, str]:
+    """Rules column: type from a JSON object."""
+    rules = json.loads(text)
+    if not isinstance(rules, dict) or not all(isinstance(v, str) for v in rules.values()):
+        raise ValueError("cast rules are a JSON object of column names and type names")
+    return rules
+
+
 @dataclass(frozen=True)
 class Prepared:
-    """The prepared table and the one-row report about it; both are lazy."""
+    """The prepared table, which is lazy, and what is counted while it is computed."""
 
     table: DataFrame
-    report: DataFrame
-
-
-def _count(df: DataFrame):
-    return df.agg(F.count(F.lit(1)).alias("n")).scalar()
-
-
-def _report(mode: str, base: DataFrame, labeled, sampled: DataFrame, before: DataFrame, final: DataFrame, complete, facts: Mapping[str, object]) -> DataFrame:
-    """Counts of the first two steps come from one pass over the input; each later step is one count."""
-    first = base.agg(
-        F.count(F.lit(1)).alias("initial_rows"),
-        F.count_if(~labeled).alias("rows_dropped_unlabeled"),
-        F.count_if(labeled & ~complete).alias("rows_dropped_required_nulls"),
-    )
-    return first.select(
-        F.lit(mode).alias("mode"),
-        "*",
-        F.lit(len(base.columns)).alias("initial_cols"),
-        _count(sampled).alias("sampled_rows"),
-        (_count(sampled) - _count(before)).alias("rows_removed_outliers"),
-        (_count(before) - _count(final)).alias("rows_removed_dedup"),
-        _count(final).alias("final_rows"),
-        F.lit(len(final.columns)).alias("final_cols"),
-        *[F.lit(v).alias(k) for k, v in facts.items()],
-    )
-
-
-def _cast_and_sample(df: DataFrame, cfg: Config, keep) -> tuple[DataFrame, DataFrame, dict[str, object]]:
-    q.require_columns(df, cfg.required_columns)
-    base, applied, skipped = q.cast_columns(df, cfg.cast_rules)
+    counts: Sequence[Observation]
+    facts: Mapping[str, object]
+
+    def report(self) -> DataFrame:
+        """One row about the table, from the counts of its first evaluation; nothing is computed again.
+
+        To be asked for after an action that computes the whole table.
+        """
+        seen: dict[str, object] = {}
+        for part in self.counts:
+            seen |= part.get
+        seen["rows_removed_outliers"] = seen["sampled_rows"] - seen["rows_after_outliers"]
+        seen["rows_removed_dedup"] = seen.pop("rows_after_outliers") - seen["final_rows"]
+        values = self.facts | seen
+        row = [F.lit(v).cast("bigint" if k in seen else "int") if isinstance(v, int) else F.lit(v) for k, v in values.items()]
+        return self.table.sparkSession.range(1).select(*[c.alias(k) for c, k in zip(row, values)])
+
+
+class Watch:
+    """Counts that are taken in passing, each under its own observation."""
+
+    def __init__(self) -> None:
+        self.counts: list[Observation] = []
+
+    def __call__(self, df: DataFrame, **counts) -> DataFrame:
+        self.counts.append(Observation())
+        return df.observe(self.counts[-1], *[value.alias(name) for name, value in counts.items()])
+
+
+def _rows():
+    return F.count(F.lit(1))
+
+
+def _facts(mode: str, base: DataFrame, final: DataFrame, cfg: Config, applied: Sequence[str], skipped: Sequence[str]) -> dict[str, object]:
+    joined = lambda names: ",".join(names)
+    return {
+        "mode": mode,
+        "initial_cols": len(base.columns),
+        "final_cols": len(final.columns),
+        "label_columns": joined(q.label_columns(base.columns)) if mode == "feature_matrix" else "",
+        "cast_applied": joined(applied),
+        "cast_skipped": joined(skipped),
+        "dedup_keys_used": joined(k for k in cfg.dedup_keys if k in final.columns),
+        "sample_fraction": float(cfg.sample),
+        "missing_percent": float(cfg.missing_percent),
+        "cast_rules": json.dumps(dict(cfg.cast_rules), sort_keys=True),
+        "required_columns": joined(cfg.required_columns),
+        "required_non_null": joined(cfg.required_non_null),
+        "dedup_keys": joined(cfg.dedup_keys),
+    }
+
+
+def _sampled(base: DataFrame, cfg: Config, labeled, watch: Watch) -> tuple[DataFrame, DataFrame]:
+    """The labelled, complete and sampled rows: as they are, for fits, and with counts, for the table."""
+    complete = q.complete(base, cfg.required_non_null)
+    keep = labeled & complete
+    plain = base.filter(keep)
     key = list(cfg.sample_key) or [c for c in q.split_columns(base).ids if c not in q.label_columns(base.columns)]
-    sampled = sample_fraction(base.filter(keep(base)), cfg.sample, key or base.columns)
-    return base, sampled, {"cast_applied": ",".join(applied), "cast_skipped": ",".join(skipped)}
+    chosen = fraction_condition(plain, cfg.sample, key or base.columns)
+    counted = watch(base, initial_rows=_rows(), rows_dropped_unlabeled=F.count_if(~labeled), rows_dropped_required_nulls=F.count_if(labeled & ~complete)).filter(keep)
+    if chosen is not None:
+        plain, counted = plain.filter(chosen), counted.filter(chosen)
+    return plain, watch(counted, sampled_rows=_rows())
 
 
 def prepare_matrix(df: DataFrame, cfg: Config) -> Prepared:
     """Casts, labels, required values, sample, sparse columns, fills, label codes, outliers, repeats.
 
-    The order is part of the semantics: each fit sees the output of the steps before it.
+    The order is part of the semantics: each fit sees the output of the steps before it. Fits read the input with as few
+    columns as they need; the steps themselves run once, counted as they go.
     """
-    base, sampled, facts = _cast_and_sample(df, cfg, lambda d: q.labeled(d) & q.complete(d, cfg.required_non_null))
-    dropped = q.sparse_columns(sampled, cfg.missing_percent)
+    q.require_columns(df, cfg.required_columns)
+    base, applied, skipped = q.cast_columns(df, cfg.cast_rules)
+    watch = Watch()
+    plain, sampled = _sampled(base, cfg, q.labeled(base), watch)
+    dropped = q.sparse_columns(plain, cfg.missing_percent)
+    strings = q.split_columns(plain.drop(*dropped)).strings
+    labels = fit_labels(q.fill_constant(plain.drop(*dropped)), strings) if strings else None
     filled = q.fill_constant(sampled.drop(*dropped))
-    strings = q.split_columns(filled).strings
-    coded = ordinal_encode(filled, strings)
+    coded = apply_labels(filled, strings, *labels) if labels else filled
     bounds = q.Bounds()
     before = coded
     if cfg.outlier_method != "none":
-        # the fences take two passes and the result a third: write the coded table once instead
-        coded = settle(coded, "coded") if strings else coded
+        # The fences take passes of their own: the coded table is written once instead.
+        coded = settle(coded, "coded")
         cols = q.outlier_columns(coded, cfg.outlier_columns)
         bounds = q.fit_iqr(coded, cols, cfg.iqr_k, approx=cfg.approx_quantiles)
         before = q.apply_cap(coded, bounds) if cfg.outlier_method == "iqr_cap" else coded.filter(q.within_fences(bounds))
-    final = q.dedup(before, cfg.dedup_keys, cfg.dedup_order)
-    facts |= {
+    final = watch(q.dedup(watch(before, rows_after_outliers=_rows()), cfg.dedup_keys, cfg.dedup_order), final_rows=_rows())
+    facts = _facts("feature_matrix", base, final, cfg, applied, skipped) | {
         "dropped_columns": ",".join(dropped),
         "encoded_columns": len(strings),
         "outlier_method": cfg.outlier_method,
         "outlier_columns": ",".join(sorted(bounds.fences)),
+        "outlier_multiplier": float(cfg.iqr_k),
     }
-    complete = q.complete(base, cfg.required_non_null)
-    report = _report("feature_matrix", base, q.labeled(base), sampled, before, final, complete, facts)
-    return Prepared(final, report)
+    return Prepared(final, watch.counts, facts)
 
 
 def prepare_passthrough(df: DataFrame, cfg: Config) -> Prepared:
     """Casts, required values, sample and repeats; nothing else changes."""
-    base, sampled, facts = _cast_and_sample(df, cfg, lambda d: q.complete(d, cfg.required_non_null))
-    final = q.dedup(sampled, cfg.dedup_keys, cfg.dedup_order)
-    complete = q.complete(base, cfg.required_non_null)
-    report = _report("passthrough", base, F.lit(True), sampled, sampled, final, complete, facts)
-    return Prepared(final, report)
+    q.require_columns(df, cfg.required_columns)
+    base, applied, skipped = q.cast_columns(df, cfg.cast_rules)
+    watch = Watch()
+    _, sampled = _sampled(base, cfg, F.lit(True), watch)
+    final = watch(q.dedup(watch(sampled, rows_after_outliers=_rows()), cfg.dedup_keys, cfg.dedup_order), final_rows=_rows())
+    return Prepared(final, watch.counts, _facts("passthrough", base, final, cfg, applied, skipped))
 
 
 def quality_report(df: DataFrame, cfg: Config, matrix: bool = True) -> DataFrame:
-    return (prepare_matrix if matrix else prepare_passthrough)(df, cfg).report
+    """The report of a preparation whose table is computed once and thrown away."""
+    prepared = (prepare_matrix if matrix else prepare_passthrough)(df, cfg)
+    prepared.table.write.format("noop").mode("overwrite").save()
+    return prepared.report()
 
 
 def _run(prepared: Prepared, out: str) -> DataFrame:
     write_table(prepared.table, f"{out}/data")
     written = read_table(prepared.table.sparkSession, f"{out}/data")
     schema_contract(written).coalesce(1).write.mode("overwrite").json(f"{out}/contract")
-    prepared.report.write.mode("overwrite").json(f"{out}/report")
+    prepared.report().coalesce(1).write.mode("overwrite").json(f"{out}/report")
     return written
 
 

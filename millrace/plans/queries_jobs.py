@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import models as md
 from millrace.operators import quality as q
-from millrace.plans import etl
+from millrace.plans import etl, training
 from millrace.plans import reports as rep
 from millrace.plans.queries_ingest import envelopes
 from millrace.plans.queries_models import MATRIX
@@ -75,14 +75,45 @@ def customer_stream(t: Tables) -> DataFrame:
     return current.select("customer_id", F.col("account_balance").cast("double").alias("account_balance"))
 
 
-def score_stream(t: Tables) -> DataFrame:
+def scored_stream(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The rows of a stream of scores, and the same rows scored as a batch."""
     source, out, mark = (fresh_dir(t.spark, n) for n in ("rows", "scores", "mark"))
     model = md.fit_logistic(q.drop_unlabeled(t.matrix), MATRIX, "fm_target")
     rows = t.matrix.drop("fm_target", "fm_region")
     rows.write.parquet(source)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    scored = jobs.stream_scores(t.spark, source, schema, out, mark, model, MATRIX, "fm_client_id")
-    return scored.groupBy("risk_band", "missing_features").agg(F.count(F.lit(1)).alias("rows"))
+    scored = jobs.stream_scores(t.spark, source, schema, out, mark, model, MATRIX, "fm_client_id", files_per_batch=1)
+    return scored, jobs.score_stream(rows, model, MATRIX, "fm_client_id")
+
+
+def score_stream(t: Tables) -> DataFrame:
+    return scored_stream(t)[0].groupBy("risk_band", "missing_features").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def score_stream_rows(t: Tables) -> DataFrame:
+    """Rows by their number of missing features, and how many the stream scored otherwise than a batch."""
+    scored, batch = scored_stream(t)
+    other = batch.select("fm_client_id", F.col("p").alias("p_"), F.col("risk_band").alias("band_"))
+    differs = ~(F.col("p").eqNullSafe(F.col("p_")) & F.col("risk_band").eqNullSafe(F.col("band_")))
+    return scored.join(other, "fm_client_id", "left").groupBy("missing_features").agg(F.count(F.lit(1)).alias("rows"), F.count_if(differs).alias("differing"))
+
+
+def training_card(t: Tables) -> DataFrame:
+    """The training job's card, with the test rows that the saved model scores otherwise than the card's metrics say."""
+    out = fresh_dir(t.spark, "training")
+    card = training.train(q.drop_unlabeled(t.matrix), out)
+    known = t.spark.read.json(f"{out}/metrics")
+    best = known.orderBy(F.desc("roc_auc"), "model").limit(1).select(F.col("model").alias("best_model"), F.col("roc_auc").alias("best_auc"))
+    again = training.score_saved(t.spark, out)
+    same = card.join(best, card["selected_model"] == best["best_model"]).withColumn("saved_auc", F.lit(again))
+    return same.select("train_rows", "train_cols", "test_rows", "test_cols", "train_ones", "test_ones", (F.abs(F.col("saved_auc") - F.col("best_auc")) < 1e-9).alias("saved_is_best"))
+
+
+TRAINING_SQL = """WITH k AS (SELECT fm_target, count(*) AS n FROM v_matrix WHERE fm_target IS NOT NULL AND fm_target <> -999 GROUP BY 1),
+s AS (SELECT fm_target, n, CAST(ceil(0.2e0 * n) AS BIGINT) AS t FROM k)
+SELECT CAST(sum(n - t) AS BIGINT) AS train_rows, 5 AS train_cols, CAST(sum(t) AS BIGINT) AS test_rows, 5 AS test_cols,
+CAST(sum(n - t) FILTER (WHERE fm_target = 1) AS BIGINT) AS train_ones, CAST(sum(t) FILTER (WHERE fm_target = 1) AS BIGINT) AS test_ones,
+true AS saved_is_best FROM s"""
 
 
 def register(r: Registry) -> None:
@@ -97,7 +128,10 @@ def register(r: Registry) -> None:
           0 AS rows_removed_outliers, (SELECT count(*) FROM labeled) - (SELECT count(*) FROM final) AS rows_removed_dedup,
           (SELECT count(*) FROM final) AS final_rows, 7 AS final_cols, 'case_id' AS cast_applied, 'gone' AS cast_skipped,
           'fm_sparse' AS dropped_columns, 1 AS encoded_columns, 'iqr_cap' AS outlier_method,
-          'case_id,fm_amt_income,fm_name_segment,fm_percentile_target,fm_region' AS outlier_columns""")
+          'case_id,fm_amt_income,fm_name_segment,fm_percentile_target,fm_region' AS outlier_columns, 0.2e0 AS outlier_multiplier,
+          'fm_target' AS label_columns, 'case_id' AS dedup_keys_used, 1e0 AS sample_fraction, 60e0 AS missing_percent,
+          '{{"case_id": "double", "gone": "int"}}' AS cast_rules, 'fm_client_id,fm_target' AS required_columns,
+          'fm_region' AS required_non_null, 'case_id' AS dedup_keys""")
     r.add("passthrough_job", "X2", lambda t: etl.prepare_passthrough(t.matrix, PASS).table,
           f"WITH {PASSED} SELECT * REPLACE (TRY_CAST(fm_name_segment AS INT) AS fm_name_segment) FROM passed")
     r.add("passthrough_job_report", "X2,A29", lambda t: etl.quality_report(t.matrix, PASS, matrix=False),
@@ -106,7 +140,10 @@ def register(r: Registry) -> None:
           count(fm_amt_income) AS sampled_rows, 0 AS rows_removed_outliers,
           count(fm_amt_income) - (SELECT count(*) FROM passed) AS rows_removed_dedup,
           (SELECT count(*) FROM passed) AS final_rows, 8 AS final_cols, 'fm_name_segment' AS cast_applied,
-          '' AS cast_skipped FROM v_matrix""")
+          '' AS cast_skipped, '' AS label_columns, 'fm_region' AS dedup_keys_used, 1e0 AS sample_fraction, 60e0 AS missing_percent,
+          '{{"fm_name_segment": "int"}}' AS cast_rules, '' AS required_columns, 'fm_amt_income' AS required_non_null,
+          'fm_region' AS dedup_keys FROM v_matrix""")
+    r.add("training_job", "ML2,ML3,ML14,ML21,ML22", training_card, TRAINING_SQL)
     r.add("folder_job", "X3",
           lambda t: etl.run_all(t.spark, t.sf_dir, fresh_dir(t.spark, "all"), pattern="*.parquet").select("input", "kind", "rows"),
           union_all(f"SELECT '{x}.parquet' AS input, 'passthrough' AS kind, count(*) AS \"rows\" FROM {x}" for x in TABLES))
@@ -165,3 +202,6 @@ def register(r: Registry) -> None:
           SELECT body->>'customer_id' AS customer_id, TRY_CAST(body->>'account_balance' AS DOUBLE) AS b FROM v_customer_json)
           WHERE b IS NOT NULL""")
     r.add("score_stream", "ST3", score_stream)
+    r.add("score_stream_rows", "ST3", score_stream_rows,
+          """SELECT 1 + CAST(fm_amt_income IS NULL AS INT) + CAST(fm_percentile_target IS NULL AS INT) + CAST(case_id IS NULL AS INT)
+          AS missing_features, count(*) AS "rows", 0 AS differing FROM v_matrix GROUP BY 1""")

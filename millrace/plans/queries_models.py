@@ -79,7 +79,7 @@ def tree_table(t: Tables) -> DataFrame:
 
 def grid_table(t: Tables) -> DataFrame:
     train, _ = vital_sets(t)
-    return md.grid_tree(train, VITALS, "heavy")[1]
+    return md.grid_tree(train, VITALS, "heavy", ["id"])[1]
 
 
 def path_table(kind: str):
@@ -151,7 +151,102 @@ def single_feature(t: Tables) -> DataFrame:
     return rounded(md.coefficients(t.spark, model, ["l_quantity"]), ["coefficient"], 4)
 
 
+# Fits whose result has a closed form: one binary feature, or classes that the features part without doubt.
+
+
+def tally(model, rows: DataFrame, features: list[str]) -> DataFrame:
+    """How many rows of each class the model gives each class."""
+    scored = md.with_probability(model, rows, features, ["y"])
+    return scored.groupBy("y", "predicted").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def binary_odds(t: Tables) -> DataFrame:
+    """Almost without penalty, a balanced logistic regression on one 0/1 feature gives the balanced shares of its classes."""
+    rows = t.lineitem.select((F.col("l_quantity") > 25).cast("int").alias("x"), (F.col("l_extendedprice") > 40000).cast("int").alias("y"))
+    model = md.fit_logistic(rows, ["x"], "y", c=1e9)
+    scored = md.with_probability(model, rows.select("x").distinct(), ["x"], ["x"])
+    return scored.select("x", F.round("p", 3).alias("p"))
+
+
+ODDS_SQL = """WITH k AS (SELECT CAST(l_quantity > 25 AS INT) AS x, CAST(l_extendedprice > 40000 AS INT) AS y FROM lineitem),
+n AS (SELECT x, sum(y) / (SELECT CAST(sum(y) AS DOUBLE) FROM k) AS one, sum(1 - y) / (SELECT CAST(sum(1 - y) AS DOUBLE) FROM k) AS zero
+FROM k GROUP BY x) SELECT x, round(one / (one + zero), 3) AS p FROM n"""
+
+
+def inner_nations(t: Tables) -> DataFrame:
+    """Every tree of the forest can part an interval from what is outside it."""
+    rows = t.customer.select("c_nationkey", F.col("c_nationkey").between(10, 19).cast("int").alias("y"))
+    return tally(md.fit_forest(rows, ["c_nationkey"], "y"), rows, ["c_nationkey"])
+
+
+def poor_and_rich(t: Tables) -> DataFrame:
+    rows = t.customer.filter("c_acctbal < 2000 OR c_acctbal > 7000").select("c_acctbal", (F.col("c_acctbal") > 7000).cast("int").alias("y"))
+    return tally(md.fit_svm(rows, ["c_acctbal"], "y"), rows, ["c_acctbal"])
+
+
+def middle_and_ends(t: Tables) -> DataFrame:
+    """No line parts these classes; the kernel does."""
+    rows = t.customer.filter("c_acctbal < 0 OR c_acctbal BETWEEN 3500 AND 5500 OR c_acctbal > 9000")
+    rows = rows.select("c_acctbal", F.col("c_acctbal").between(3500, 5500).cast("int").alias("y"))
+    return tally(md.fit_rff_svm(rows, ["c_acctbal"], "y"), rows, ["c_acctbal"])
+
+
+PARTED = "SELECT y, y AS predicted, count(*) AS \"rows\" FROM (SELECT CAST({label} AS INT) AS y FROM customer WHERE {kept}) GROUP BY y"
+HALVES = "SELECT CAST(c_acctbal > 5000 AS INT) AS a, CAST(c_nationkey < 12 AS INT) AS b, CAST(c_acctbal > 3500 AND c_nationkey < 20 AS INT) AS y"
+
+
+def halves(t: Tables) -> DataFrame:
+    wealthy, low = F.col("c_acctbal") > 5000, F.col("c_nationkey") < 12
+    y = (F.col("c_acctbal") > 3500) & (F.col("c_nationkey") < 20)
+    return t.customer.select("c_custkey", wealthy.cast("int").alias("a"), low.cast("int").alias("b"), y.cast("int").alias("y"))
+
+
+def one_split(t: Tables) -> DataFrame:
+    """A tree of one split takes the feature with the greater fall of the Gini impurity, and all importance is its."""
+    return md.importances(t.spark, md.fit_tree(halves(t), ["a", "b"], "y", depth=1), ["a", "b"])
+
+
+GINI = "sum(n * 2 * p * (1 - p))"
+SPLIT_SQL = f"""WITH k AS ({HALVES} FROM customer), g AS (
+SELECT 'a' AS feature, {GINI} AS left_over FROM (SELECT a, count(*) AS n, avg(y) AS p FROM k GROUP BY a)
+UNION ALL SELECT 'b', {GINI} FROM (SELECT b, count(*) AS n, avg(y) AS p FROM k GROUP BY b))
+SELECT feature, CAST(left_over = (SELECT min(left_over) FROM g) AS DOUBLE) AS importance FROM g"""
+
+
+def fold_recall(t: Tables) -> DataFrame:
+    return rounded(md.grid_tree(halves(t), ["a"], "y", ["c_custkey"], {"impurity": ["gini", "entropy"], "maxDepth": [1]})[1], ["recall"])
+
+
+FOLD_SQL = f"""WITH k AS ({HALVES}, {hash_sql("c_custkey")} % 3 AS fold FROM customer),
+m AS (SELECT f, a, CAST(avg(y) > 0.5 AS INT) AS guess FROM k, (SELECT unnest(range(3)) AS f) WHERE fold <> f GROUP BY f, a),
+r AS (SELECT f, sum(guess * y) / CAST(sum(y) AS DOUBLE) AS recall FROM k JOIN m ON fold = f AND k.a = m.a GROUP BY f)
+SELECT impurity, '1' AS "maxDepth", round(avg(recall), 6) AS recall FROM r, (SELECT unnest(['gini', 'entropy']) AS impurity) GROUP BY impurity"""
+
+
+def reloaded(t: Tables) -> DataFrame:
+    """Test rows, and those that a saved and loaded model scores otherwise than the fitted one."""
+    train, test = matrix_sets(t)
+    path = fresh_dir(t.spark, "model")
+    model = md.fit_logistic(train, MATRIX, "fm_target")
+    md.save_model(model, path)
+    score = lambda m, p: md.with_probability(m, test, MATRIX, ["fm_client_id"]).select("fm_client_id", F.col("p").alias(p))
+    both = score(model, "before").join(score(md.load_model(path), "after"), "fm_client_id")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("differing"))
+
+
+RELOADED_SQL = """SELECT CAST(sum(ceil(0.2e0 * n)) AS BIGINT) AS "rows", 0 AS differing FROM (SELECT count(*) AS n FROM v_matrix
+WHERE fm_target IS NOT NULL AND fm_target <> -999 GROUP BY fm_target)"""
+
+
 def register(r: Registry) -> None:
+    r.add("logistic_odds", "ML2", binary_odds, ODDS_SQL)
+    r.add("forest_interval", "ML3", inner_nations, PARTED.format(label="c_nationkey BETWEEN 10 AND 19", kept="true"))
+    r.add("svm_parted", "ML4", poor_and_rich, PARTED.format(label="c_acctbal > 7000", kept="c_acctbal < 2000 OR c_acctbal > 7000"))
+    r.add("fourier_svm_parted", "ML5", middle_and_ends, PARTED.format(
+        label="c_acctbal BETWEEN 3500 AND 5500", kept="c_acctbal < 0 OR c_acctbal BETWEEN 3500 AND 5500 OR c_acctbal > 9000"))
+    r.add("tree_split", "ML6", one_split, SPLIT_SQL)
+    r.add("grid_folds", "ML7", fold_recall, FOLD_SQL)
+    r.add("model_reloaded", "ML22", reloaded, RELOADED_SQL)
     r.add("features_target", "ML1", lambda t: md.features_target(t.matrix, leaks=["fm_sparse"]),
           "SELECT fm_target, fm_amt_income, fm_name_segment, fm_region, fm_percentile_target, case_id FROM v_matrix")
     r.add("credit_models", "ML2,ML3,ML14", credit_models)

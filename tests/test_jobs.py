@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ingest as ing
 from millrace.operators import models as md
 from millrace.operators import review as rv
-from millrace.plans import etl
+from millrace.plans import etl, training
 from millrace.session import fresh_dir
 from millrace.sources import tables as tb
 from millrace.streaming import jobs
@@ -27,7 +27,8 @@ def test_matrix_job(matrix):
     rows = {r["fm_client_id"]: r for r in done.table.collect()}
     assert done.table.columns == ["fm_client_id", "fm_target", "fm_x", "fm_s", "case_id"]
     assert len(rows) == 21 and rows[999]["fm_x"] < 1000  # one row per case, the extreme value is capped
-    report = done.report.first().asDict()
+    done.table.write.format("noop").mode("overwrite").save()
+    report = done.report().first().asDict()
     assert (report["initial_rows"], report["rows_dropped_unlabeled"], report["sampled_rows"], report["rows_removed_dedup"], report["final_rows"]) == (81, 40, 41, 20, 21)
     assert report["dropped_columns"] == "fm_gone" and report["encoded_columns"] == 1
 
@@ -43,7 +44,8 @@ def test_matrix_job_removing_outliers_and_sampling(matrix):
 def test_passthrough_changes_nothing_else(matrix, rows_in):
     done = etl.prepare_passthrough(matrix, etl.Config(cast_rules={"fm_s": "int", "zz": "int"}, required_non_null=["fm_x"]))
     assert done.table.columns == matrix.columns and done.table.filter("fm_s IS NOT NULL").count() == 0
-    report = done.report.first()
+    done.table.write.format("noop").mode("overwrite").save()
+    report = done.report().first()
     assert (report["rows_dropped_required_nulls"], report["final_rows"], report["cast_skipped"]) == (16, 65, "zz")
 
 
@@ -131,3 +133,34 @@ def test_report_stays_lazy(tables):
 def test_unknown_outlier_method_is_refused():
     with pytest.raises(ValueError, match="outlier method"):
         etl.Config(outlier_method="IQR_CAP")
+
+
+def test_the_report_takes_one_evaluation(spark, tmp_path):
+    rows = [(i, i % 2, float(i), f"s{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "fm_client_id bigint, fm_target int, fm_x double, fm_s string")
+    df.write.parquet(f"{tmp_path}/in")
+    cfg = etl.Config(outlier_method="iqr_cap", dedup_keys=["fm_x"], cast_rules=etl.cast_rules('{"fm_x": "double"}'))
+    done = etl.prepare_matrix(spark.read.parquet(f"{tmp_path}/in"), cfg)
+    done.table.write.parquet(f"{tmp_path}/out")
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    report = done.report()
+    assert len(jobs.getJobIdsForGroup(None)) == before  # asking for the report starts no job
+    row = report.first()
+    assert (row["initial_rows"], row["final_rows"], row["label_columns"], row["dedup_keys_used"], row["sample_fraction"]) == (60, 60, "fm_target", "fm_x", 1.0)
+    with pytest.raises(ValueError):
+        etl.cast_rules('["fm_x"]')
+
+
+def test_reports_of_empty_and_sampled_tables(spark):
+    df = spark.createDataFrame([(i, i % 2, float(i)) for i in range(400)], "fm_client_id bigint, fm_target int, fm_x double")
+    assert 10 < etl.quality_report(df, etl.Config(sample=0.1)).first()["final_rows"] < 90
+    for matrix in (True, False):
+        row = etl.quality_report(df.limit(0), etl.Config(), matrix).first()
+        assert (row["initial_rows"], row["sampled_rows"], row["final_rows"]) == (0, 0, 0)
+
+
+def test_training_needs_two_classes(spark, tmp_path):
+    df = spark.createDataFrame([(i, 1, float(i)) for i in range(20)], "fm_client_id bigint, fm_target int, fm_x double")
+    with pytest.raises(ValueError):
+        training.train(df, str(tmp_path))

@@ -146,7 +146,7 @@ def test_margin_models_give_probabilities(classes):
 
 
 def test_tree_grid(classes):
-    model, table = md.grid_tree(classes.dropna(), ["a", "b", "c"], "y", {"impurity": ["gini"], "maxDepth": [1, 4], "minInstancesPerNode": [1]})
+    model, table = md.grid_tree(classes.dropna(), ["a", "b", "c"], "y", ["a", "b", "c"], {"impurity": ["gini"], "maxDepth": [1, 4], "minInstancesPerNode": [1]})
     assert table.count() == 2 and model.stages[-1].depth in (1, 4)
 
 
