@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import profile as p
 from millrace.plans.registry import Registry
+from millrace.plans.views import Tables
 
 
 def rounded(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -19,7 +20,39 @@ def union_all(parts: Sequence[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+WIDE, CORRELATED = 130, 16
+
+
+def wide_sql(count: int) -> list[str]:
+    """Columns made of a customer's balance and key, some with gaps."""
+    return [f"CASE WHEN c_custkey % {i + 7} > 0 THEN c_acctbal * {i % 9} + (c_custkey * {i + 3}) % {50 + i} END" for i in range(count)]
+
+
+def wide_customers(t: Tables, count: int) -> DataFrame:
+    return t.customer.selectExpr(*[f"double({e}) AS w{i}" for i, e in enumerate(wide_sql(count))])
+
+
 def register(r: Registry) -> None:
+    r.add(
+        "describe_wide",
+        "A16",
+        lambda t: rounded(p.describe(wide_customers(t, WIDE), [f"w{i}" for i in range(WIDE)]).drop("mean", "std"), ["lowest", "q1", "median", "q3", "highest"]),
+        union_all(
+            f"""SELECT 'w{i}' AS "column", count(w) AS n, round(min(w), 6) AS lowest, round(quantile_cont(w, 0.25), 6) AS q1,
+            round(quantile_cont(w, 0.5), 6) AS median, round(quantile_cont(w, 0.75), 6) AS q3, round(max(w), 6) AS highest
+            FROM (SELECT CAST({e} AS DOUBLE) AS w FROM customer)"""
+            for i, e in enumerate(wide_sql(WIDE))
+        ),
+    )
+    r.add(
+        "corr_wide",
+        "A25,A26",
+        lambda t: rounded(p.high_corr(wide_customers(t, CORRELATED), [f"w{i}" for i in range(CORRELATED)], 0.1), ["corr"]),
+        "SELECT * FROM (" + union_all(
+            f"""SELECT 'w{i}' AS a, 'w{j}' AS b, round(corr(x, y), 6) AS corr FROM (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM customer)"""
+            for i, x in enumerate(wide_sql(CORRELATED)) for j, y in enumerate(wide_sql(CORRELATED)) if i < j
+        ) + ") WHERE abs(corr) > 0.1",
+    )
     cats = ["brand", "car_type"]
     r.add(
         "value_counts",
