@@ -15,15 +15,18 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.texts import plain_docs, slices
+from millrace.llm.texts import mix, plain_docs, slices
 
 # Fixed value: the published pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 BLOCK_DOCS = 2_000
 BLOCK_BYTES = 4 << 20
-BLOCKS_PER_SALT = 2_048
+#: A pre-token in so many documents of a block is hot: its postings are dealt by block, not to one place.
+HOT_DOCS = 64
 COUNT_AT_ONCE = 10_000
+#: Pre-tokens that a place remembers; beyond that it starts anew and may encode one again.
+REMEMBERED = 2_000_000
 LIMIT = 512
 
 POSTINGS = pa.schema(
@@ -77,8 +80,9 @@ def frequencies(special: list[str], places: int):
             if names:
                 which, docs, freqs = np.array(which), np.concatenate(docs), np.array(freqs, np.int32)
                 words = np.array(list(names), object)
-                salt = block // BLOCKS_PER_SALT % 1009
-                place = ((pd.util.hash_array(words, categorize=False) + np.uint64(salt)) % np.uint64(places)).astype(np.int32)
+                hot = np.bincount(which, minlength=len(words)) >= HOT_DOCS
+                salt = np.where(hot, mix(np.array([block], np.uint64)), np.uint64(0))
+                place = ((pd.util.hash_array(words, categorize=False) + salt) % np.uint64(places)).astype(np.int32)
                 order = np.lexsort((docs, which, place[which]))
                 for own in np.split(order, np.flatnonzero(np.diff(place[which[order]])) + 1):
                     used, n_docs = np.unique(which[own], return_counts=True)
@@ -102,6 +106,8 @@ def weigh(path: str):
                     yield part
                     continue
                 pre = part["pre"].flatten().to_pylist()
+                if len(pieces) > REMEMBERED:
+                    pieces.clear()
                 new = [p for p in pre if p not in pieces]
                 for at in range(0, len(new), COUNT_AT_ONCE):
                     some = new[at : at + COUNT_AT_ONCE]
@@ -141,9 +147,10 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes and n_tokens of each row's whole text, as the library counts them without added special tokens.
 
     Documents are read once and become blocks of at most BLOCK_DOCS. What is shuffled is not tokens but, per block, its
-    distinct pre-tokens with their postings, each to its place by hash; there every distinct pre-token is encoded once
-    (once for each BLOCKS_PER_SALT blocks of a task, so that a pre-token of every document does not gather all
-    postings in one place). Sums go back by block. Null and empty texts count 0 tokens; repeated rows and ids are
+    distinct pre-tokens with their postings, each to its place by hash; there every distinct pre-token is encoded once.
+    Only a pre-token that HOT_DOCS documents of a block have goes to a place of the block's choice, so that its postings
+    do not all meet in one; it is encoded once in each place, and a block has few of them. There are as many places as
+    the session's shuffle partitions; set these by the size of the input. Sums go back by block. Null and empty texts count 0 tokens; repeated rows and ids are
     counted row by row; texts are taken whole; other columns do not matter.
     """
     places = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

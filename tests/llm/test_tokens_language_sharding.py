@@ -139,3 +139,18 @@ def test_backoff_against_a_plain_loop():
             else:
                 total += plain[0][2] + language.BACKOFF * 5
         assert language.unseen([word], model.index(), model.none)[0] == pytest.approx(total / len(padded), abs=1e-5)
+
+
+def test_only_hot_pre_tokens_go_to_several_places(spark, frame, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_DOCS", 100)
+    rng = random.Random(3)
+    rows = [(i, " ".join(["the"] + [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(5)])) for i in range(4000)]
+    docs = frame(rows, "doc_id bigint, text string").repartition(16)
+    kind = "place int, block bigint, pre array<string>, n_docs array<int>, doc_at array<smallint>, n array<int>, ids array<bigint>, sizes array<bigint>"
+    seen = {}
+    for r in docs.mapInArrow(tokens.frequencies([], 8), kind).where("pre IS NOT NULL").select("place", "pre").collect():
+        for word in r.pre:
+            seen.setdefault(word, set()).add(r.place)
+    assert len(seen) > 500 and len(seen.pop("the")) > 4 and all(len(places) == 1 for places in seen.values())
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    assert {r.doc_id: r.n_tokens for r in tokens.count_tokens(docs, PATH).collect()} == dict(zip([i for i, _ in rows], library([t for _, t in rows])))
