@@ -24,6 +24,8 @@ from millrace.session import fresh_dir, settle
 LENGTH = 400
 GRAM = 8
 SHARD_BYTES = 1 << 20
+#: Readers hold a row group at once; rows are as large as shards.
+ROW_GROUP_BYTES = 8 << 20
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
 INTERVALS = pa.schema([("around", pa.int64()), ("context", pa.int64()), ("shard", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("n", pa.int32())])
@@ -121,7 +123,7 @@ def make_shards(docs: DataFrame, buckets: int) -> DataFrame:
 
     spark, name = docs.sparkSession, f"shards_{uuid.uuid4().hex}"
     shards = docs.mapInArrow(run, "shard bigint, ids array<bigint>, texts array<string>")
-    shards.repartition(buckets, "shard").write.bucketBy(buckets, "shard").option("path", fresh_dir(spark, "shards")).saveAsTable(name)
+    shards.repartition(buckets, "shard").write.bucketBy(buckets, "shard").option("parquet.block.size", ROW_GROUP_BYTES).option("path", fresh_dir(spark, "shards")).saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return table
