@@ -19,8 +19,9 @@ from millrace.operators.metrics import band_of
 from millrace.operators.models import with_probability
 from millrace.operators.quality import align_features
 from millrace.sources.feeds import ENVELOPE
-from millrace.sources.tables import full_refresh, read_latest, version_path, versions
+from millrace.streaming import ledger
 
+KEY, ORDER = "customer_id", ["page"]
 EVENTS = "diff_id bigint, payload string, files string"
 
 
@@ -51,14 +52,13 @@ def customer_batch(pages: DataFrame) -> DataFrame:
 
 
 def stream_customers(spark: SparkSession, source: str, root: str, checkpoint: str, files_per_batch: int = 1000) -> DataFrame:
-    """Every batch appends its changed rows as one version of a log; ``current_customers`` resolves it.
+    """Every batch appends its changed rows to the table's log (see ``ledger``); a restart repeats nothing.
 
-    A batch writes what it brought, not the whole table, and writing a batch id again replaces the same
-    version, so a restart repeats nothing.
+    A batch writes what it brought, not the whole table, and from time to time the log goes into the buckets it touches.
     """
 
     def log(batch: DataFrame, batch_id: int) -> None:
-        full_refresh(customer_batch(batch), f"{root}/log", batch_id)
+        ledger.append(customer_batch(batch), root, KEY, ORDER, checkpoint, batch_id)
 
     pages = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source)
     _finish(pages.writeStream.foreachBatch(log), checkpoint)
@@ -66,26 +66,12 @@ def stream_customers(spark: SparkSession, source: str, root: str, checkpoint: st
 
 
 def current_customers(spark: SparkSession, root: str) -> DataFrame:
-    """The compacted base, replaced or extended by the versions logged after it."""
-    base_versions = versions(spark, f"{root}/base")
-    done = base_versions[-1] if base_versions else -1
-    later = [v for v in versions(spark, f"{root}/log") if v > done]
-    parts = [version_path(f"{root}/log", v) for v in later]
-    base = read_latest(spark, f"{root}/base") if base_versions else None
-    if not parts:
-        if base is None:
-            raise FileNotFoundError(f"no customers below {root}")
-        return base
-    logged = spark.read.option("basePath", f"{root}/log").parquet(*parts)
-    if base is None:
-        return ing.latest(logged, ["customer_id"], ["version", "page"]).drop("version", "page")
-    return ing.upsert(base, logged, ["customer_id"], ["version", "page"])
-
-
-def compact_customers(spark: SparkSession, root: str) -> int:
-    """Writes the current customers as the new base; the log up to it is no longer read."""
-    last = versions(spark, f"{root}/log")[-1]
-    return full_refresh(current_customers(spark, root), f"{root}/base", last)
+    return ledger.current(spark, root, KEY, ORDER)
+
+
+def compact_customers(spark: SparkSession, root: str) -> list[int]:
+    """Brings what is logged into the buckets now."""
+    return ledger.compact(spark, root, KEY, ORDER)
 
 
 def score_stream(rows: DataFrame, model: PipelineModel, features: Sequence[str], key: str) -> DataFrame:
