@@ -69,6 +69,18 @@ def register(r: Registry) -> None:
           f"""WITH m AS ({months}) SELECT round(sum(revenue), 2) AS total, round(avg(revenue), 2) AS mean_of_months,
           (SELECT name FROM m ORDER BY revenue DESC, month LIMIT 1) AS best_month,
           (SELECT name FROM m ORDER BY revenue, month LIMIT 1) AS worst_month FROM m""")
+    # Orders reach over all months of several years, which the trips do not.
+    dated = lambda t: t.orders.selectExpr("o_orderdate AS pickup_datetime", "o_totalprice AS fare_amount")
+    year = """(SELECT o_orderdate AS pickup_datetime, o_totalprice AS fare_amount FROM orders)"""
+    r.add("monthly_revenue_orders", "A12", lambda t: rounded(rp.monthly_revenue(dated(t)), ["mean_fare"]), months.replace("v_trips", year))
+    r.add("revenue_summary_orders", "A12",
+          lambda t: rounded(rp.revenue_summary(dated(t)), ["total", "mean_of_months"], 2),
+          f"""WITH m AS ({months.replace("v_trips", year)}) SELECT round(sum(revenue), 2) AS total, round(avg(revenue), 2) AS mean_of_months,
+          (SELECT name FROM m ORDER BY revenue DESC, month LIMIT 1) AS best_month,
+          (SELECT name FROM m ORDER BY revenue, month LIMIT 1) AS worst_month FROM m""")
+    r.add("weekday_profile_orders", "C19", lambda t: rp.weekday_profile(dated(t)),
+          f"""SELECT dayname(pickup_datetime) AS day, CAST(month(pickup_datetime) AS INT) AS month,
+          count(*) AS pickups, count(DISTINCT CAST(pickup_datetime AS DATE)) AS dates FROM {year} GROUP BY 1, 2""")
     zones = """SELECT n.n_nationkey AS locationid, n.n_name AS zone, count(trip_id) AS trip_count
           FROM nation n LEFT JOIN v_trips ON n.n_nationkey = pulocationid GROUP BY 1, 2"""
     r.add("zone_counts", "J2", lambda t: rp.zone_counts(t.trips, t.zones), zones)

@@ -116,6 +116,12 @@ concat('user', diff_id % 50) AS login, diff_id AS number, 'org' AS owner, split_
 filename, patch FROM v_reviews WHERE diff_id % 4 < 2)"""
 
 
+def two_files(t: Tables) -> DataFrame:
+    """Events that bring two patches: their own and the next event's."""
+    own = t.reviews.select("diff_id", F.lit("a.py").alias("filename"), "patch")
+    return own.unionByName(t.reviews.select((F.col("diff_id") - 1).alias("diff_id"), F.lit("b.py").alias("filename"), "patch"))
+
+
 def register(r: Registry) -> None:
     r.add("pr_scope", "P17", lambda t: rv.pr_scope(t.reviews.select("diff_id", "filename")),
           f"SELECT diff_id, filename, {SCOPE} AS scope_reason FROM v_reviews")
@@ -144,6 +150,11 @@ def register(r: Registry) -> None:
           lambda t: rv.scan_secrets(t.reviews, number=True).select("diff_id", "line", "new_line", "description"),
           f"""WITH {LINES}, {secrets_sql} SELECT s.diff_id, s.line, l.line AS new_line, description FROM secrets s
           LEFT JOIN lines l ON l.diff_id = s.diff_id AND l.pos = s.pos""")
+    r.add("scan_secrets_files", "R2", lambda t: rv.scan_secrets(two_files(t), number=True).select("diff_id", "filename", "line", "new_line", "description"),
+          f"""WITH {LINES}, {secrets_sql}, found AS (SELECT s.diff_id, s.line, l.line AS new_line, description FROM secrets s
+          LEFT JOIN lines l ON l.diff_id = s.diff_id AND l.pos = s.pos)
+          SELECT diff_id, 'a.py' AS filename, line, new_line, description FROM found
+          UNION ALL SELECT diff_id - 1, 'b.py', line, new_line, description FROM found""")
     r.add("normalize_reviews", "R3,F7,F8",
           lambda t: rv.normalize_reviews(t.reviews).select(
               "diff_id", F.size("bugs").alias("bugs"), F.size("security").alias("security"), F.size("quality").alias("quality"),

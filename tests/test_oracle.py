@@ -7,7 +7,6 @@ from compare import oracle_connection, rows_of
 from conftest import SF
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-SLOW = {"credit_models", "forest_metrics", "svm_metrics", "fourier_svm_metrics", "model_round_trip", "folder_job"}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +14,7 @@ def duck():
     return oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
     got = rows_of(df.columns, df.collect())
