@@ -1,8 +1,8 @@
 """A corpus cleaned step by step: languages, repeated lines, near-duplicates, benchmark leaks, then encoding.
 
 Each stage takes the documents that the stage before it kept, as a written table, and works on all of them. All but the
-last return the columns of ``documents``. Repeated and null ids, null and empty texts and extra columns are dealt with as
-the operators' docstrings say.
+last return the columns of ``documents``. Null and empty texts and extra columns are dealt with as the operators' docstrings
+say; in near-dedup and decontamination a row whose id is null or repeated is a document of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from millrace.session import settle
 
 #: A document stays if its language is known; texts without a letter have none.
 REJECTED = language.UNKNOWN
+#: Numbers of rows without an id of their own begin here.
+BEYOND_IDS = 1 << 62
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +36,35 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _counted(line_dedup.without_repeated_lines(docs))
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with __row, a number for each row: its doc_id, or one beyond all ids where that is null or repeated.
+
+    Only ids are grouped; the rows in question are written once, so their numbers hold.
+    """
+    shared = settle(docs.groupBy(F.col("doc_id").alias("__shared")).agg(F.count("*").alias("__n")).where("__n > 1 OR __shared IS NULL"), "shared")
+    same = docs["doc_id"].eqNullSafe(shared["__shared"])
+    own = docs.join(shared, same, "left_anti").withColumn("__row", F.col("doc_id").cast("bigint"))
+    other = docs.join(shared, same, "left_semi").withColumn("__row", F.lit(BEYOND_IDS) + F.monotonically_increasing_id())
+    return own.unionByName(settle(other, "unnamed"))
+
+
+def _without(named: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose number is not among those of ``gone``, a written table."""
+    return named.join(gone, named["__row"] == gone["__gone"], "left_anti").drop("__row")
+
+
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: the document with the least id of each group stays, and any id that has another kept text."""
-    found = near_dup.near_duplicates(docs).groupBy(F.col("doc_id").alias("__gone")).agg(F.max("kept").alias("__kept")).where("NOT __kept")
-    return docs.join(settle(found.select("__gone"), "gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    """MinHash near-dedup: of each group one row stays, that with the least id; rows whose id is null or repeated come last."""
+    named = _named(docs)
+    found = near_dup.near_duplicates(named.select(F.col("__row").alias("doc_id"), "text"))
+    return _without(named, settle(found.where("NOT kept").select(F.col("doc_id").alias("__gone")), "gone"))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold an item of ``benchmark`` go."""
-    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Benchmark decontamination: rows that hold an item of ``benchmark`` go, each judged by its own text."""
+    named = _named(docs)
+    found = decontaminate.leaks(named.select(F.col("__row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(named, settle(found.select(F.col("doc_id").alias("__gone")).distinct(), "leaks"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
