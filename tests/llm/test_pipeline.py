@@ -45,7 +45,7 @@ def test_columns_are_kept(stages):
 
 def test_registered(spark):
     assert set(queries()) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
 
 
 def test_empty_and_odd_documents(spark, frame):
@@ -55,3 +55,15 @@ def test_empty_and_odd_documents(spark, frame):
         for name, stage in corpus_pipeline.STAGES:
             rows = corpus_pipeline.settle(stage(spark, rows, SF), name)
         assert {r.doc_id for r in rows.collect()} == want
+
+
+def test_rows_without_an_id_of_their_own(spark, frame):
+    text = " ".join(f"word{i}" for i in range(60))
+    item = pq.read_table(f"{SF}/benchmark.parquet")["text"][0].as_py()
+    kind = "doc_id bigint, text string"
+    docs = frame([(None, text), (None, text), (7, text), (None, "something else altogether here"), (3, "twice " + text[:200]), (3, "another text of the same id, long enough"), (None, item), (4, item), (4, "clean words")], kind)
+    single = corpus_pipeline.settle(corpus_pipeline.without_near_duplicates(spark, docs, SF), "single")
+    assert sorted(texts(single), key=repr) == sorted([(7, text), (None, "something else altogether here"), (3, "twice " + text[:200]), (3, "another text of the same id, long enough"), (4, "clean words"), *[r for r in texts(single) if r[1] == item]], key=repr)
+    assert sum(t == item for _, t in texts(single)) == 1
+    clean = corpus_pipeline.without_leaks(spark, docs, SF)
+    assert not any(t == item for _, t in texts(clean)) and clean.count() == 7 and clean.columns == docs.columns
