@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.session import settle
 
-#: Star rounds at most before the pairs that are left between different components are listed.
-STARS = 3
-#: They are listed at once where this is no more than so many pairs a row.
-PAIRS_PER_ROW = 30
+#: Rounds in which lists are compared with one leader each, before what is left is compared otherwise.
+STARS = 2
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -29,16 +25,20 @@ def _stars(edges: DataFrame) -> bool:
     return seen.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for every node of an edge, component being the least node that can be reached.
 
     ``edges`` has the columns a and b, of one orderable type without nulls; loops and repeats do no harm and an empty
     table gives an empty one. Each round hooks both ends of every edge to the least neighbour of one of them and then
     shortens paths; a round reads what the one before wrote to the shared folder, so lineage does not grow. The number
     of rounds is logarithmic in the longest path; a node with very many edges is a key of a join that Spark can split.
+    With ``rounds`` it ends after so many at most, and nodes of one component may still have different labels; equal
+    labels always mean one component.
     """
     edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not _stars(edges):
+    turn = 0
+    while turn != rounds and not _stars(edges):
+        turn += 1
         # Large star: neighbours above a node move to the least node that it knows.
         least = _least(edges)
         either = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -50,59 +50,39 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(below, large["a"] == below["node"])
         hooked = small.select("b", "least").where("b <> least").toDF("a", "b").unionByName(below.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
         edges = settle(hooked, "edges")
+    if turn == rounds:  # not stars yet, perhaps
+        return _least(edges).withColumnRenamed("least", "component")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def linked(
-    lists: DataFrame,
-    by: list[str],
-    confirm: Callable[[DataFrame, bool], DataFrame],
-    sketch: Callable[[DataFrame], DataFrame] | None = None,
-    alike: Callable[[Column, Column], Column] | None = None,
-    stars: int = STARS,
-) -> DataFrame:
+def linked(lists: DataFrame, by: list[str], near: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame], stars: int = STARS) -> DataFrame:
     """(node, component) over candidate lists: two nodes are linked if they share a list and ``confirm`` keeps their pair.
 
     ``lists`` has a row for each list (columns ``by``) and node in it, and is read several times, so it should be a
-    written table; ``confirm`` turns pairs (a, b) into those that hold and is told whether sketches chose them. Pairs of a list are not all written out: its
-    nodes are first checked against one leader, linked nodes become one component, and lists within a component are
-    done. After ``stars`` rounds with other leaders, nodes of different components that still share a list are all
-    compared, so the components are those of all confirmed pairs. There a pair comes from the first of its lists
-    only, and if ``sketch`` is given, which turns nodes into (node, sketch), only if ``alike`` says of its sketches that
-    it may be confirmed; both are conditions of the join, so other pairs are never rows.
+    written table. Pairs of a list are not written out: its nodes are compared with one leader, linked nodes become one
+    component, and lists within a component are done. A pair with a leader is a row only if ``near``, given the names of
+    both sides as prefixes of columns, holds; further columns of ``lists`` are there for it. ``confirm`` turns pairs (a, b)
+    into those that hold. After ``stars`` rounds with other leaders, ``rest`` gets the lists (with ``component``) that
+    still have several components and returns the links (a, b) between their nodes that are left; it decides how to
+    find them without all pairs of a list.
     """
-    labels = lists.select("node", F.col("node").alias("component")).distinct()
-    edges = tried = None
+    extra = [c for c in lists.columns if c not in (*by, "node")]
+    labels = edges = None
     for turn in range(stars + 1):
-        own = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = own.groupBy(*by).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        own = settle(own.join(mixed.select(*by), by), "mixed")
-        rows, pairs_left = own.groupBy(*by).agg(F.count("*").cast("double").alias("n")).agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
-        if not rows:
-            break
-        last = turn == stars or (turn and pairs_left <= PAIRS_PER_ROW * rows)
-        if not last:
-            rank = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.lit(0), "node", "component")
-            other = own.groupBy(*by).agg(F.min(rank).alias("top")).select(*by, F.col("top.node").alias("other"), F.col("top.component").alias("apart"))
-            pairs = own.join(other, by).where(F.col("component") != F.col("apart"))
+        own = lists.withColumn("component", F.col("node"))
+        if labels is not None:
+            own = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "component", *extra)
+        heads = own.groupBy(*by).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(rank).alias("top")).where("low <> high")
+        if turn < stars:
+            heads = heads.select(*by, *[F.col(f"top.{c}").alias(f"top_{c}") for c in ("node", "component", *extra)])
+            named = own.select(*by, *[F.col(c).alias(f"own_{c}") for c in ("node", "component", *extra)])
+            pairs = named.join(heads, by).where((F.col("own_component") != F.col("top_component")) & near("own_", "top_"))
+            pairs = pairs.select(F.least("own_node", "top_node").alias("a"), F.greatest("own_node", "top_node").alias("b")).distinct()
+            found = settle(confirm(pairs), "links")
         else:
-            listed = own.withColumn("list", F.xxhash64(*by))
-            facts = listed.groupBy("node").agg(F.collect_list("list").alias("all"))
-            if sketch is not None:
-                facts = facts.join(settle(sketch(facts.select("node")), "sketches"), "node")
-            full = settle(listed.join(facts, "node"), "left")
-            x, y = full.alias("x"), full.alias("y")
-            where = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in by] + [F.col("x.component") > F.col("y.component")]
-            if alike is not None:
-                where.append(alike(F.col("x.sketch"), F.col("y.sketch")))
-            where.append(F.array_min(F.array_intersect("x.all", "y.all")) == F.col("x.list"))
-            pairs = x.join(y, reduce(and_, where)).select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
-        pairs = pairs.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
-        pairs = settle(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "pairs")
-        found = settle(confirm(pairs, bool(last and sketch)), "links")
+            found = settle(rest(settle(own.join(heads.select(*by), by), "mixed")), "links")
         edges = found if edges is None else edges.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = settle(components(edges), "labels")
-        if last:
-            break
+        # After the first round labels only tell what need not be compared again, so they need not be final.
+        labels = settle(components(edges, 1 if turn == 0 and stars else None), "labels")
     return labels

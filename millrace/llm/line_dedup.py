@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import linked
@@ -9,8 +13,22 @@ from millrace.session import settle
 
 SHINGLE = 10
 PERCENT = 75
-ROWS = 3
-BANDS = 10
+ROWS = 2
+BANDS = 7
+#: 64-bit words of the maps that keep hopeless pairs from being rows; a power of two.
+WORDS = 16
+#: Chance that a pair at the limit agrees in fewer coordinates than are asked for before it is compared.
+MISS = 5e-4
+
+
+def least_matches(coordinates: int, p: float) -> int:
+    """The greatest number of equal coordinates that a pair reaches but for a chance of MISS, each equal with chance ``p``."""
+    total = 0.0
+    for k in range(coordinates + 1):
+        total += math.comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
+        if total > MISS:
+            return k
+    return coordinates
 
 
 def _shingle_bytes(line: Column) -> Column:
@@ -38,47 +56,105 @@ def _bound(value: Column, use) -> Column:
 
 
 def line_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, text_key, at, line, node): every line with a visible character; node is the line's hash."""
+    """(doc_id, text_key, at, line, node): every line with a visible character; node is 128 bits of the line's hash."""
     text = F.col("text").cast("string")
     lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return lines.where(F.length(F.trim("line")) > 0).withColumn("node", F.xxhash64("line"))
+    node = F.struct(F.xxhash64("line").alias("x"), F.xxhash64(F.lit(1), "line").alias("y"))
+    return lines.where(F.length(F.trim("line")) > 0).withColumn("node", node)
 
 
-def bands(lines: DataFrame, shingle: int, rows: int, count: int) -> DataFrame:
-    """(node, keys): for each distinct line the keys of its bands, each of ``rows`` MinHash coordinates.
+def signatures(lines: DataFrame, shingle: int, count: int) -> DataFrame:
+    """(node, coords): for each distinct line ``count`` MinHash coordinates of 32 bits.
 
-    Shingles are rows that are hashed and folded to minima before the shuffle, every shingle of every line; a
-    coordinate is the least value of its own hash function, the shingle's hash hashed once more with its number.
+    Shingles are rows that are hashed and folded to minima before the shuffle, every shingle of every line. The
+    shingle's 64-bit hash is hashed again with the number of a pair of coordinates, which take 32 bits each.
     """
-    wide = lines.select("node", "line", _shingle_bytes(F.col("line")).alias("data"))  # below the explode: once per line
-    shingles = wide.select("node", "data", F.explode(_places(F.col("line"), shingle)).alias("at"))
-    hashed = shingles.select("node", F.hash(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
-    least = hashed.groupBy("node").agg(*[F.min(F.hash("h", F.lit(j))).alias(f"m{j}") for j in range(rows * count)])
-    keys = [F.hash(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(count)]
-    return least.select("node", F.array(*keys).alias("keys"))
+    pairs = (count + 1) // 2
+    wide = lines.select("node.x", "node.y", "line", _shingle_bytes(F.col("line")).alias("data"))  # below the explode: once per line
+    shingles = wide.select("x", "y", "data", F.explode(_places(F.col("line"), shingle)).alias("at"))
+    hashed = shingles.select("x", "y", F.xxhash64(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
+    again = hashed.select("x", "y", *[F.xxhash64("h", F.lit(j)).alias(f"v{j}") for j in range(pairs)])
+    halves = [half for j in range(pairs) for half in (F.shiftright(f"v{j}", 32), F.col(f"v{j}").bitwiseAND(0xFFFFFFFF) - (1 << 31))]
+    least = again.groupBy("x", "y").agg(*[F.min(half).alias(f"m{j}") for j, half in enumerate(halves[:count])])
+    return least.select(F.struct("x", "y").alias("node"), F.array(*[F.col(f"m{j}").cast("int") for j in range(count)]).alias("coords"))
+
+
+def _similar(x: Column, y: Column, percent: int) -> Column:
+    common = F.size(F.array_intersect(x, y)).cast("bigint")
+    return common * 100 >= percent * (F.size(x) + F.size(y) - common)
+
+
+def line_facts(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, n, b0, b1, ...): how many distinct shingles a line has, and a map of WORDS * 64 bits with those of their hashes."""
+    sets = texts.select("node", F.explode(_shingle_set(F.col("line"), shingle)).alias("h"))
+    word = f"(shiftrightunsigned(h, 6) & {WORDS - 1})"
+    maps = [F.expr(f"bit_or(CASE WHEN {word} = {j} THEN shiftleft(1L, int(h & 63)) ELSE 0L END) AS b{j}") for j in range(WORDS)]
+    return sets.groupBy("node").agg(F.count("*").alias("n"), *maps)
+
+
+def _may_be_similar(x: str, y: str, percent: int) -> Column:
+    """Of the facts of two lines: sizes that fit, and maps that differ in no more bits than the sets may differ in shingles.
+
+    Every bit in which two maps differ stands for a shingle that only one set has, so no similar pair fails.
+    """
+    size = {s: F.col(f"{s}n") for s in (x, y)}
+    sizes = (size[x] * 100 >= size[y] * percent) & (size[y] * 100 >= size[x] * percent)
+    apart = reduce(add, [F.bit_count(F.col(f"{x}b{j}").bitwiseXOR(F.col(f"{y}b{j}"))) for j in range(WORDS)])
+    return sizes & (apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent))
 
 
 def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, count: int = BANDS) -> DataFrame:
-    """(node, component) of the distinct lines that have a near-duplicate among the others."""
-    signed = settle(bands(lines, shingle, rows, count), "bands")
-    posted = signed.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = posted.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    lists = settle(posted.join(shared, ["band", "key"]), "lists")
-    wanted = lists.select("node").distinct()
-    texts = settle(lines.select("node", "line").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line")), "lines")
+    """(node, component) of the distinct lines that have a near-duplicate among the others.
+
+    Lines that agree in all ``rows`` coordinates of one of ``count`` bands share a list. A list is compared with leaders
+    (see ``linked``). What then still stands in a list beside another component is joined to it under conditions on the
+    coordinates, the sizes and bit maps of the shingles, which no similar pair fails; only pairs that fulfil them are
+    rows, and those are compared exactly. Within this function a line is known by a number, and lists hold 8 bits of
+    each coordinate: what agrees by chance is compared and dropped.
+    """
+    coordinates = rows * count
+    packed = [reduce(add, [F.shiftleft(F.col("coords")[j].cast("bigint").bitwiseAND(255), 8 * (j - at)) for j in range(at, min(at + 7, coordinates))]) for at in range(0, coordinates, 7)]
+    keys = [F.xxhash64(F.lit(b), *[F.col("coords")[b * rows + r] for r in range(rows)]) for b in range(count)]
+    found = signatures(lines, shingle, coordinates)
+    names = [f"s{i}" for i in range(len(packed))]
+    signed = settle(found.select(F.monotonically_increasing_id().alias("n"), "node", F.array(*keys).alias("keys"), *[c.alias(s) for c, s in zip(packed, names)]), "signed")
+    posted = signed.select(F.col("n").alias("node"), F.explode("keys").alias("key"))
+    shared = settle(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
+    lists = posted.join(shared, "key").join(signed.select(F.col("n").alias("node"), *names), "node")
+    lists = settle(lists, "lists")
+    named = signed.select("n", "node")
+    wanted = named.join(lists.select(F.col("node").alias("n")).distinct(), "n", "left_semi")
+    texts = lines.select("node", "line").join(wanted, "node").groupBy("n").agg(F.first("line").alias("line"))
+    texts = settle(texts.withColumnRenamed("n", "node"), "lines")
     side = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
+    least = least_matches(coordinates, percent / 100)
+
+    def near(x: str, y: str) -> Column:
+        apart = [F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}")) for s in names]
+        equal = [(F.shiftright(apart[j // 7], 8 * (j % 7)).bitwiseAND(255) == 0).cast("int") for j in range(coordinates)]
+        return reduce(add, equal) >= least
 
-    def confirm(pairs: DataFrame, _: bool) -> DataFrame:
+    def confirm(pairs: DataFrame) -> DataFrame:
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         sets = both.select("a", "b", _shingle_set(F.col("a_line"), shingle).alias("x"), _shingle_set(F.col("b_line"), shingle).alias("y"))
-        common = F.size(F.array_intersect("x", "y")).cast("bigint")
-        return sets.where(common * 100 >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
+        return sets.where(_similar(F.col("x"), F.col("y"), percent)).select("a", "b")
+
+    def rest(mixed: DataFrame) -> DataFrame:
+        asked = texts.join(mixed.select("node").distinct(), "node", "left_semi")
+        sides = settle(mixed.join(line_facts(asked, shingle), "node"), "sides")
+        side = lambda s: sides.select("key", *[F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "key"])
+        apart = (F.col("x_node") < F.col("y_node")) & (F.col("x_component") != F.col("y_component"))
+        both = side("x").join(side("y"), "key").where(apart & near("x_", "y_") & _may_be_similar("x_", "y_", percent))
+        return confirm(both.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
 
-    return linked(lists, ["band", "key"], confirm)
+    labels = linked(lists, ["key"], near, confirm, rest)
+    again = lambda c: named.select(F.col("n").alias(c), F.col("node").alias(f"{c}_hash"))
+    both = labels.join(again("node"), "node").join(again("component"), "component")
+    return both.select(F.col("node_hash").alias("node"), F.col("component_hash").alias("component"))
 
 
-def marked_lines(docs: DataFrame, id_col: str = "doc_id", **settings: int) -> DataFrame:
-    """(doc_id, text_key, at, kept) of every line with a visible character; kept marks one occurrence per component.
+def removed_occurrences(docs: DataFrame, id_col: str = "doc_id", **settings: int) -> DataFrame:
+    """(doc_id, text_key, at) of every line that goes: all occurrences of a component but one.
 
     A component joins lines whose sets of ``shingle`` characters have a Jaccard similarity of ``percent`` hundredths,
     directly or through others; equal lines are one. Its least occurrence stays: by doc_id (nulls last), then text,
@@ -88,9 +164,10 @@ def marked_lines(docs: DataFrame, id_col: str = "doc_id", **settings: int) -> Da
     labels = line_components(lines, **settings)
     joined = lines.select("doc_id", "text_key", "at", "node").join(labels, "node", "left")
     occurrences = joined.select("doc_id", "text_key", "at", F.coalesce("component", "node").alias("component"))
+    occurrences = settle(occurrences, "occurrences")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "at")
-    first = occurrences.groupBy("component").agg(F.min(order).alias("first"))
-    return occurrences.join(first, "component").select("doc_id", "text_key", "at", (F.col("first") == order).alias("kept"))
+    several = occurrences.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
+    return occurrences.join(several, "component").where(F.col("first") != order).select("doc_id", "text_key", "at")
 
 
 def removed_lines(docs: DataFrame, **settings: int) -> DataFrame:
@@ -100,7 +177,7 @@ def removed_lines(docs: DataFrame, **settings: int) -> DataFrame:
     line to lose. Rows that repeat an id and text are one document and get the same answer each.
     """
     text = F.col("text").cast("string")
-    gone = marked_lines(docs, **settings).where(~F.col("kept")).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("at")).alias("lines"))
+    gone = removed_occurrences(docs, **settings).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("at")).alias("lines"))
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "lines")
     rows = docs.select("doc_id", F.xxhash64(text).alias("__own"), F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("bigint").alias("n_lines"))
     rows = rows.withColumn("n_lines", F.when(F.col("n_lines") < 0, 0).otherwise(F.col("n_lines")))
@@ -115,7 +192,7 @@ def without_repeated_lines(docs: DataFrame, **settings: int) -> DataFrame:
     Documents that had no visible line before stay as they are. All other columns are kept.
     """
     text = F.col("text").cast("string")
-    gone = marked_lines(docs, **settings).where(~F.col("kept")).groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("__lines"))
+    gone = removed_occurrences(docs, **settings).groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("__lines"))
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__lines")
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key")), "left")
     keep = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines"))

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.components import linked
 from millrace.llm.texts import LOWER, SEPARATOR, mix, plain_docs, slices, span_hashes, spans, utf8, window_hashes
@@ -21,12 +19,14 @@ COORDINATES = 64
 MISS = 1e-6
 #: Bits of the sketches that keep hopeless pairs out of the last comparison.
 BITS = 4096
-#: Their hash functions come after those of the signatures.
-COORDINATES_AT = 1000
+#: Nodes in a block of a long list, and rows and pairs that are compared at once.
+BLOCK = 256
+ROWS_AT_ONCE = 4096
+PAIRS_AT_ONCE = 20_000
 
 _RNG = np.random.default_rng(31337)
-FLIPS = _RNG.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2)
-FACTORS = _RNG.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FLIPS = _RNG.integers(0, 2**63, 1000, dtype=np.uint64) * np.uint64(2)
+FACTORS = _RNG.integers(0, 2**63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.string()), ("signature", pa.list_(pa.int32()))])
 
@@ -70,14 +70,14 @@ def shingle_sets(texts: pa.Array, width: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES, first_one: int = 0) -> np.ndarray:
-    """MinHash coordinates of non-empty sets, 32 bits each, by the hash functions from ``first_one`` on."""
+def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
+    """MinHash coordinates of non-empty sets, 32 bits each."""
     flat = np.concatenate(sets)
     sizes = np.array([len(s) for s in sets])
     first = np.cumsum(sizes) - sizes
     out = np.empty((len(sets), coordinates), np.int32)
     for j in range(coordinates):
-        least = np.minimum.reduceat((flat ^ FLIPS[first_one + j]) * FACTORS[first_one + j], first)
+        least = np.minimum.reduceat((flat ^ FLIPS[j]) * FACTORS[j], first)
         out[:, j] = (mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     return out
 
@@ -145,27 +145,105 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text").mapInArrow(check, "a bigint, b bigint")
 
 
-def sketches(texts: DataFrame, width: int) -> DataFrame:
-    """(node, sketch): one bit of each of BITS further MinHash coordinates."""
+def facts_of(texts: DataFrame, reps: DataFrame, lists: DataFrame, width: int) -> DataFrame:
+    """(node, facts): for each node that is left the bits in which lists it is, its signature, its size and its parity sketch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, rows=200):
-            found = signatures(shingle_sets(part["text"], width), BITS, COORDINATES_AT)
-            bits = np.packbits((found & 1).astype(np.uint8), axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part["node"], pa.array(list(bits), pa.list_(pa.int64()))], names=["node", "sketch"])
-
-    return texts.mapInArrow(run, "node bigint, sketch array<bigint>")
-
-
-def sketches_alike(percent: int):
-    """Of two sketches, whether a pair at the limit could have them: bits agree with a chance of (1 + similarity) / 2."""
-    least = match_threshold(BITS, (1 + percent / 100) / 2)
+    The sketch has BITS bits; each shingle flips the one of its hash. Two sketches differ in at most as many bits as the
+    sets differ in shingles, so a pair whose sketches are too far apart is certainly not similar.
+    """
 
-    def alike(x: Column, y: Column) -> Column:
-        apart = reduce(add, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)])
-        return F.lit(BITS) - apart >= least
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            rows = []
+            for s, signature, lists_in in zip(shingle_sets(part["text"], width), part["signature"], part["lists_in"]):
+                flips = np.bincount((mix(s) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+                mask = np.zeros(len(signature.values), np.uint8)
+                mask[lists_in.values.to_numpy()] = 1
+                size = np.array([len(s)], np.int64)
+                rows.append(b"".join([np.packbits(flips.astype(np.uint8)).tobytes(), size.tobytes(), signature.values.to_numpy().tobytes(), np.packbits(mask).tobytes()]))
+            yield pa.RecordBatch.from_arrays([part["node"], pa.array(rows, pa.binary())], names=["node", "facts"])
+
+    inside = lists.groupBy("node").agg(F.collect_set("at").alias("lists_in"))
+    return texts.join(inside, "node").join(reps, "node").select("node", "text", "signature", "lists_in").mapInArrow(run, "node bigint, facts binary")
+
+
+def _pairs_in(begin: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs of rows of each run, about PAIRS_AT_ONCE at a time."""
+    stop = np.repeat(begin + size, size)
+    row = np.arange(int(begin[0]), int(begin[0] + size.sum())) if len(begin) else np.zeros(0, np.int64)
+    after = stop - row - 1
+    done = 0
+    while done < len(row):
+        to = max(done + 1, done + int(np.searchsorted(np.cumsum(after[done:]), PAIRS_AT_ONCE, "right")))
+        count = after[done:to]
+        x = np.repeat(row[done:to], count)
+        yield x, x + 1 + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        done = to
+
+
+def compared(mixed: DataFrame, facts: DataFrame, threshold: int, coordinates: int, percent: int) -> DataFrame:
+    """(a, b): pairs of nodes of different components in the lists of ``mixed`` whose signatures and sketches allow a link.
+
+    Long lists are split: nodes are dealt to blocks of about BLOCK and each pair of blocks is one small group, so no task
+    holds a list. Collisions are counted on the signatures, a pair is taken in the first of its common lists only, with
+    ``threshold`` equal coordinates at least, and only if its sizes and parity sketches can reach the similarity.
+    """
 
-    return alike
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, ["at", "value", "low", "high"]):
+            at, component, node, block = (rows[c].to_numpy() for c in ("at", "component", "node", "block"))
+            facts = np.frombuffer(b"".join(rows["facts"].to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+            bits, rest = facts[:, : BITS // 8].copy().view(np.uint64), facts[:, BITS // 8 :]
+            size, signature = rest[:, :8].copy().view(np.int64)[:, 0], rest[:, 8 : 8 + 4 * coordinates].copy().view(np.int32)
+            inside = np.unpackbits(rest[:, 8 + 4 * coordinates :], axis=1, count=coordinates) == 1
+            edge = np.append(True, _changes(rows, ["at", "value", "low", "high"]))
+            begin = np.flatnonzero(edge)
+            cross = rows["low"].to_numpy() != rows["high"].to_numpy()
+            for x, y in _pairs_in(begin, np.diff(np.append(begin, rows.num_rows))):
+                fit = (component[x] != component[y]) & (~cross[x] | (block[x] != block[y]))
+                fit &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+                x, y = x[fit], y[fit]
+                equal = signature[x] == signature[y]
+                common = equal & inside[x] & inside[y]
+                fit = (equal.sum(1) >= threshold) & (common.argmax(1) == at[x])
+                x, y = x[fit], y[fit]
+                # Of similar sets, at most this share of both sizes together differs.
+                apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+                fit = apart * (100 + percent) <= (100 - percent) * (size[x] + size[y])
+                one, other = node[x[fit]], node[y[fit]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], names=["a", "b"])
+
+    sizes = mixed.groupBy("at", "value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = mixed.join(sizes, ["at", "value"]).withColumn("block", F.pmod(F.xxhash64("node", "at"), "blocks").cast("int"))
+    dealt = dealt.select("at", "value", "node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).join(facts, "node")
+    keys = ["at", "value", "low", "high"]
+    grouped = dealt.select(*keys, "block", "node", "component", "facts").repartition(*keys).sortWithinPartitions(*keys, "node")
+    return grouped.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _changes(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Whether each row but the first has other ``keys`` than the one before."""
+    return np.any([(v := rows[c].to_numpy())[1:] != v[:-1] for c in keys], axis=0)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows in order of ``keys``, some whole groups at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            held.append(batch.slice(at, ROWS_AT_ONCE))
+            size += held[-1].num_rows
+            if size >= ROWS_AT_ONCE:
+                table = pa.Table.from_batches(held).combine_chunks()
+                ends = np.flatnonzero(_changes(table, keys))
+                cut = int(ends[-1]) + 1 if len(ends) else 0
+                if cut:
+                    yield table.slice(0, cut).combine_chunks()
+                held, size = table.slice(cut).to_batches(), table.num_rows - cut
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, coordinates: int = COORDINATES) -> DataFrame:
@@ -186,13 +264,12 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     lists = settle(prefixes(reps, threshold), "postings")
     wanted = lists.select("node").distinct()
     texts = settle(rows.join(wanted, rows["doc_id"] == wanted["node"]).select("node", "text"), "texts")
-    labels = linked(
-        lists,
-        ["at", "value"],
-        lambda pairs, sketched: confirmed(pairs if sketched else matched(pairs, reps, threshold), texts, width, percent),
-        lambda some: sketches(texts.join(some, "node", "left_semi"), width),
-        sketches_alike(percent),
-    )
+
+    def rest(mixed: DataFrame) -> DataFrame:
+        facts = settle(facts_of(texts, reps, mixed, width), "facts")
+        return confirmed(compared(mixed, facts, threshold, coordinates, percent), texts, width, percent)
+
+    labels = linked(lists, ["at", "value"], lambda x, y: F.lit(True), lambda pairs: confirmed(matched(pairs, reps, threshold), texts, width, percent), rest)
     at = nodes.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("set_component"))
     joined = signed.join(at, "set_key", "left")
     component = F.coalesce("set_component", "doc_id")

@@ -3,8 +3,9 @@ from operator import eq
 
 import pandas as pd
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
-from millrace.llm import line_dedup as ld
+from millrace.llm import components, line_dedup as ld
 from millrace.llm.queries import op7_line_dedup
 
 SF = "/root/testdata/sf0.001"
@@ -89,7 +90,7 @@ def test_long_lines_of_few_shingles(spark, frame):
     assert got == [(i, [0] if i % 2 else []) for i, _ in rows]
 
 
-def test_bands_miss_few_pairs_at_the_limit(spark):
+def test_candidates_miss_few_pairs_at_the_limit(spark):
     # Lines of different characters: `same` common shingles, then `own` of each line.
     cases = [(9, 1, 2), (18, 3, 3), (36, 6, 6), (72, 12, 12), (105, 17, 18), (12, 1, 2), (20, 2, 3), (40, 5, 5), (80, 10, 10), (112, 14, 14)]
     pairs, rng, rows = 4000, random.Random(7), []
@@ -97,13 +98,62 @@ def test_bands_miss_few_pairs_at_the_limit(spark):
         for k in range(pairs):
             head = "".join(chr(rng.randrange(0x4E00, 0x9E00)) for _ in range(same + 9))
             rows += [((c * pairs + k) * 2 + side, head + "".join(chr(rng.randrange(0xAC00, 0xD700)) for _ in range(n))) for side, n in enumerate(own)]
-    lines = spark.createDataFrame(pd.DataFrame(rows, columns=["node", "line"])).repartition(8)
-    keys = dict(ld.bands(lines, ld.SHINGLE, ld.ROWS, ld.BANDS).rdd.map(tuple).collect())
-    missed = [sum(not any(map(eq, keys[n], keys[n + 1])) for n in range(2 * c * pairs, 2 * (c + 1) * pairs, 2)) / pairs for c in range(len(cases))]
+    lines = spark.createDataFrame(pd.DataFrame(rows, columns=["n", "line"])).selectExpr("struct(n AS x, 0L AS y) AS node", "line").repartition(8)
+    found = {r.node.x: r.coords for r in ld.signatures(lines, ld.SHINGLE, ld.ROWS * ld.BANDS).collect()}
+    least = ld.least_matches(ld.ROWS * ld.BANDS, ld.PERCENT / 100)
+
+    def caught(x, y):
+        equal = list(map(eq, x, y))
+        return sum(equal) >= least and any(all(equal[b : b + ld.ROWS]) for b in range(0, len(equal), ld.ROWS))
+
+    missed = [sum(not caught(found[n], found[n + 1]) for n in range(2 * c * pairs, 2 * (c + 1) * pairs, 2)) / pairs for c in range(len(cases))]
     print("missed by union size:", [(sum(x), round(x[0] / sum(x), 2), m) for x, m in zip(cases, missed)])
     assert max(missed) < 0.01
 
 
-def test_no_python_on_the_path(spark):
+def test_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    made = []
+
+    def counted(df, name="settled", settle=ld.settle):
+        out = settle(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ld, "settle", counted)
+    monkeypatch.setattr(components, "settle", counted)
+    sizes = []
+    for n in (100, 200, 400):
+        made.clear()
+        head = text(60)
+        rows = [(i, head + text(40)) for i in range(n)]
+        kept = ld.removed_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert kept.where("n_removed > 0").count() == 0
+        by_name = {name: max(c for m, c in made if m == name) for name, _ in made}
+        sizes.append((by_name["links"], max(c for name, c in by_name.items() if name not in ("lists", "mixed", "sides")), max(by_name[m] for m in ("lists", "mixed", "sides"))))
+    assert all(links == 0 and most <= 2 * n and listed <= ld.BANDS * n for (links, most, listed), n in zip(sizes, (100, 200, 400))), sizes
+
+
+def test_pairs_that_fail_the_maps_are_not_similar(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(300):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(5, 400)))
+        edits = rng.randint(0, 12)
+        other = list(base)
+        for _ in range(edits):
+            other[rng.randrange(len(other))] = rng.choice("xyz")
+        rows.append((i, base, "".join(other)))
+    pairs = spark.createDataFrame(rows, "i bigint, x string, y string")
+    fact = lambda c: ld.line_facts(pairs.selectExpr("i AS node", f"{c} AS line"), ld.SHINGLE)
+    side = lambda c: fact(c).select(F.col("node").alias(f"{c}_node"), *[F.col(n).alias(f"{c}_{n}") for n in fact(c).columns if n != "node"])
+    both = side("x").join(side("y"), F.col("x_node") == F.col("y_node"))
+    passed = {r[0] for r in both.where(ld._may_be_similar("x_", "y_", 75)).select("x_node").collect()}
+    similar = {i for i, x, y in rows if 100 * len(shingle_set(x) & shingle_set(y)) >= 75 * len(shingle_set(x) | shingle_set(y))}
+    assert similar <= passed and len(passed) < 1.5 * len(similar)
+
+
+def test_only_built_in_operations_on_the_path(spark):
     plan = op7_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExternalRDD"))

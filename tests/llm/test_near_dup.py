@@ -1,3 +1,4 @@
+import functools
 import random
 import re
 
@@ -99,3 +100,26 @@ def test_shingle_sets_count():
     texts = ["", None, "a", "a b c d e", "a b c d e f a b c d e f", "é\x0bé é\x0cé é"]
     assert [len(s) for s in near_dup.shingle_sets(pa.array(texts))] == [len(shingles(t)) for t in texts]
     assert near_dup.match_threshold() == 30
+
+
+def test_blocks_of_long_lists(spark, frame, monkeypatch):
+    # Every list goes to the last comparison, in blocks of a few nodes; look-alikes are below the limit, near copies above.
+    for name, value in (("BLOCK", 7), ("ROWS_AT_ONCE", 16), ("PAIRS_AT_ONCE", 50)):
+        monkeypatch.setattr(near_dup, name, value)
+    monkeypatch.setattr(near_dup, "linked", functools.partial(near_dup.linked, stars=0))
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+
+    def edited(share):
+        return " ".join(f"x{rng.randrange(10**6)}" if rng.random() < share else w for w in base)
+
+    rows = [(i, edited(rng.choice([0.005, 0.03, 0.06]))) for i in range(80)]
+    made = []
+    compared = near_dup.compared
+    monkeypatch.setattr(near_dup, "compared", lambda *a: made.append((out := compared(*a)).count()) or out)
+    got = sorted(map(tuple, near_dup.near_duplicates(frame(rows, "doc_id bigint, text string")).collect()))
+    want = brute(rows)
+    assert got == want and 3 < len({r[2] for r in want}) < 80
+    sets = list({frozenset(shingles(t)) for _, t in rows})
+    links = sum(100 * len(a & b) >= 75 * len(a | b) for i, a in enumerate(sets) for b in sets[i + 1 :])
+    assert links <= made[0] <= 1.5 * links + 20
