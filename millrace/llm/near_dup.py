@@ -20,7 +20,7 @@ MISS = 1e-6
 #: Bits of the sketches that keep hopeless pairs out of the last comparison.
 BITS = 4096
 #: Nodes in a block of a long list, and rows and pairs that are compared at once.
-BLOCK = 256
+BLOCK = 2048
 ROWS_AT_ONCE = 4096
 PAIRS_AT_ONCE = 20_000
 
