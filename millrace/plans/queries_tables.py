@@ -97,11 +97,11 @@ def refresh_twice(t: Tables) -> DataFrame:
 
 
 def file_catalog(t: Tables) -> DataFrame:
-    """The catalog of the input files with the rows that each of them holds."""
+    """The catalog of the input tables with the rows that each of them holds."""
     files = tb.catalog(t.spark, t.sf_dir, "*.parquet")
-    held = [t.spark.read.parquet(r["path"]).agg(F.lit(r["input"]).alias("file_"), F.count(F.lit(1)).alias("rows")) for r in files.collect()]
+    held = [t.spark.read.parquet(r["path"]).agg(F.lit(r["path"]).alias("file_"), F.count(F.lit(1)).alias("rows")) for r in files.collect()]
     rows = reduce(DataFrame.unionByName, held)
-    return files.join(rows, F.col("input") == F.col("file_")).select("input", "output", "kind", "rows")
+    return files.join(rows, F.col("path") == F.col("file_")).select("input", "output", "kind", "rows")
 
 
 def register(r: Registry) -> None:

@@ -73,14 +73,29 @@ def write_table(df: DataFrame, path: str, partitions: int | None = None) -> str:
     return path
 
 
+def list_tables(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Path and length of the tables below ``path`` whose name fits ``pattern``: single files, and folders of part files.
+
+    A folder whose name fits is one table, as long as all its files together; what lies in it is not looked at by name.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    base = root.getFileSystem(conf).makeQualified(root).toString().rstrip("/")
+    named = jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()
+    below = F.split(F.substr(F.col("path"), F.lit(len(base) + 2)), "/")
+    at = F.array_position(F.transform(below, lambda part: part.rlike(f"^(?:{named})$")), True)
+    table = F.concat_ws("/", F.lit(base), F.slice(below, 1, F.greatest(at, F.lit(1)).cast("int")))
+    return list_files(spark, path, "*").filter(at > 0).groupBy(table.alias("path")).agg(F.sum("length").alias("length"))
+
+
 def catalog(spark: SparkSession, path: str, pattern: str = f"*{INPUT_TAG}.parquet") -> DataFrame:
-    """Files with size class, output name and kind by name, small to large."""
+    """Tables with size class, output name and kind by name, small to large."""
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     size = F.col("length") / (1024 * 1024)
     kind = F.when(F.contains(F.lower("input"), F.lit(MATRIX_TAG)), "feature_matrix").otherwise("passthrough")
     order = F.when(size < SMALL_MB, 0).when(size < MEDIUM_MB, 1).otherwise(2)
     return (
-        list_files(spark, path, pattern)
+        list_tables(spark, path, pattern)
         .select(
             "path",
             name.alias("input"),

@@ -146,6 +146,17 @@ def test_catalog(spark, tmp_path):
     ]
 
 
+def test_catalog_takes_a_folder_of_part_files_as_one_table(spark, tmp_path):
+    for folder in ("x_standardized.parquet", "deep/y_standardized.parquet"):
+        spark.range(10, numPartitions=3).write.parquet(str(tmp_path / folder))
+    spark.range(1).write.parquet(str(tmp_path / "other"))
+    found = {r["input"]: r["path"] for r in tb.catalog(spark, f"{tmp_path}/").collect()}
+    assert sorted(found) == ["x_standardized.parquet", "y_standardized.parquet"]
+    assert all(spark.read.parquet(path).count() == 10 for path in found.values())
+    lengths = {r["path"]: r["length"] for r in tb.list_tables(spark, str(tmp_path), "x_*").collect()}
+    assert list(lengths.values()) == [sum(f.stat().st_size for f in (tmp_path / "x_standardized.parquet").glob("part-*"))]
+
+
 def test_kind_by_schema(spark):
     assert tb.kind_by_schema(spark.range(1).selectExpr("id AS fm_client_id", *[f"id AS c{i}" for i in range(10)])) == "feature_matrix"
     assert tb.kind_by_schema(spark.range(1).selectExpr("id AS fm_client_id")) == "passthrough"
