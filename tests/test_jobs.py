@@ -68,6 +68,12 @@ def test_folder_job(spark, matrix, tmp_path):
     assert spark.read.json(f"{out}/x_feature_matrix_processed.parquet/report").first()["final_rows"] == 21
 
 
+def test_folder_job_on_folders_of_part_files(spark, tmp_path):
+    spark.range(7, numPartitions=3).write.parquet(str(tmp_path / "in" / "notes_standardized.parquet"))
+    got = [(r["input"], r["kind"], r["rows"]) for r in etl.run_all(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()]
+    assert got == [("notes_standardized.parquet", "passthrough", 7)]
+
+
 def test_review_stream_equals_batch_and_resumes(spark, rows_in):
     source, out, mark = (fresh_dir(spark, n) for n in ("ev", "out", "mark"))
 
