@@ -76,6 +76,12 @@ def test_outliers_and_describe(frame):
     assert p.classify_numeric(df, ["x"], 4).first()["kind"] == "continuous"
 
 
+def test_classify_numeric_counts_every_value(frame, rows_in):
+    rows = [(2**60 + i, i % 3 * 1.0, None, -0.0 if i % 2 else 0.0) for i in range(50)]
+    got = rows_in(p.classify_numeric(frame(rows, "a long, b double, c int, d double"), ["a", "b", "c", "d"]))
+    assert got == [("a", 50, "continuous"), ("b", 3, "discrete"), ("c", 0, "discrete"), ("d", 1, "discrete")]
+
+
 def test_stratified_sample_takes_at_least_one(spark):
     df = spark.range(1000).withColumn("g", F.when(F.col("id") < 3, "tiny").otherwise("big"))
     counts = {r["g"]: r["count"] for r in s.stratified_sample(df, ["g"], ["id"]).groupBy("g").count().collect()}
