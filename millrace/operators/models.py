@@ -41,6 +41,7 @@ LASSO_ALPHAS = np.logspace(-4, 2, 50)
 FINE_STEPS = 30
 LEAST_ALPHA = 1e-4
 MEDIAN_ERROR = 0.001
+ROWS_PER_TASK = 500_000  # training rows of one task; a forest keeps 4 bytes a row and tree with them
 
 
 def features_target(df: DataFrame, y: str = "fm_target", key: str = "fm_client_id", leaks: Sequence[str] = ()) -> DataFrame:
@@ -74,14 +75,27 @@ def _prepared(features: Sequence[str], impute: bool, scale: bool) -> tuple[list,
     return stages, "scaled" if scale else "assembled"
 
 
-def _fit(stages: list, df: DataFrame) -> PipelineModel:
-    """Fits the stages one after another; models keep no training summary.
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` dealt out evenly: to every core, and further while a part would hold more than ROWS_PER_TASK of the ``rows``.
+
+    A small file is one task however many cores there are, and a fit goes over its rows hundreds of times. More parts than
+    that only cost: each has its own sums, which are added up after every pass.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((rows or 0) / ROWS_PER_TASK)))
+
+
+def _fit(stages: list, df: DataFrame, rows: int | None = None) -> PipelineModel:
+    """Fits the stages one after another, from the first classifier on with rows that are dealt out evenly; models keep
+    no training summary.
 
     A summary holds the session and the training data's plan, which would go into every task that scores, and a session
     that has observed metrics cannot be sent at all.
     """
     fitted: list = []
+    rows = df.count() if rows is None else rows
     for stage in stages:
+        if hasattr(stage, "getLabelCol") and not any(hasattr(f, "getLabelCol") for f in fitted):
+            df = spread(df.select(*_inputs(stage)), rows)
         model = stage.fit(df) if isinstance(stage, Estimator) else stage
         if getattr(model, "hasSummary", False):
             model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
@@ -91,6 +105,12 @@ def _fit(stages: list, df: DataFrame) -> PipelineModel:
     return PipelineModel(fitted)
 
 
+def _inputs(stage: Estimator) -> list[str]:
+    """The columns that a classifier reads."""
+    weight = [stage.getWeightCol()] if stage.isDefined("weightCol") else []
+    return [stage.getFeaturesCol(), stage.getLabelCol(), *weight]
+
+
 def as_doubles(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in features})
 
@@ -102,16 +122,16 @@ def fit_logistic(df: DataFrame, features: Sequence[str], y: str, c: float = 1.0)
     model = LogisticRegression(
         featuresCol=column, labelCol=y, weightCol="weight_", maxIter=MAX_ITER, regParam=1.0 / (c * rows), standardization=False
     )
-    return _fit([*stages, model], weighted)
+    return _fit([*stages, model], weighted, rows)
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], y: str, trees: int = TREES, depth: int = 10) -> PipelineModel:
-    weighted, _ = with_weights(as_doubles(df, features), y)
+    weighted, rows = with_weights(as_doubles(df, features), y)
     stages, column = _prepared(features, True, False)
     model = RandomForestClassifier(
         featuresCol=column, labelCol=y, weightCol="weight_", numTrees=trees, maxDepth=depth, seed=SEED
     )
-    return _fit([*stages, model], weighted)
+    return _fit([*stages, model], weighted, rows)
 
 
 def fit_svm(df: DataFrame, features: Sequence[str], y: str, reg: float = 1e-3, max_iter: int = 100) -> PipelineModel:
@@ -215,7 +235,7 @@ def grid_tree(
         estimator=tree, estimatorParamMaps=points, evaluator=recall, numFolds=folds, foldCol="fold_", seed=SEED, parallelism=4
     )
     dealt = as_doubles(df, features).withColumn("fold_", (hash32(SEED, key) % folds).cast("int"))
-    fitted = search.fit(assembled.transform(dealt))
+    fitted = search.fit(spread(assembled.transform(dealt).select("assembled", y, "fold_"), df.count()))
     rows = [
         (*[str({p.name: v for p, v in point.items()}[name]) for name in grid], float(score))
         for point, score in zip(points, fitted.avgMetrics, strict=True)

@@ -28,12 +28,12 @@ def sides(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def vital_sets(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Is the body mass index above 28? The split is written once: a fit reads its training set many times."""
     rows = health_units(t.vitals).withColumn("heavy", (F.col("bmi") > 28).cast("int"))
-    return sides(settle(s.stratified_split(rows, "heavy", ["id"], 0.3), "vitals"))
+    return sides(settle(md.spread(s.stratified_split(rows, "heavy", ["id"], 0.3)), "vitals"))
 
 
 def matrix_sets(t: Tables) -> tuple[DataFrame, DataFrame]:
     rows = q.drop_unlabeled(t.matrix)
-    return sides(settle(s.stratified_split(rows, "fm_target", ["fm_client_id"], 0.2), "matrix"))
+    return sides(settle(md.spread(s.stratified_split(rows, "fm_target", ["fm_client_id"], 0.2)), "matrix"))
 
 
 def line_sets(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -46,7 +46,7 @@ def line_sets(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def judged(model, test: DataFrame, features: list[str], y: str, name: str) -> DataFrame:
-    scored = md.with_probability(model, test, features, [y])
+    scored = settle(md.with_probability(model, test, features, [y]), "scores")
     cols = ["roc_auc", "accuracy", "precision", "recall"]
     return rounded(mt.model_metrics(scored, name, 0, y, "p"), cols, 4)
 
@@ -58,7 +58,7 @@ def credit_models(t: Tables) -> DataFrame:
         "logistic_regression": md.fit_logistic(train, MATRIX, "fm_target"),
         "random_forest": md.fit_forest(train, MATRIX, "fm_target"),
     }
-    frames = [(n, md.with_probability(m, test, MATRIX, ["fm_target"])) for n, m in fits.items()]
+    frames = [(n, settle(md.with_probability(m, test, MATRIX, ["fm_target"]), "scores")) for n, m in fits.items()]
     table = mt.compare_models(frames, "fm_target", "p")
     best = mt.select_best(table).select("model").scalar()
     return table.withColumn("best", F.col("model") == best)
@@ -155,9 +155,10 @@ def single_feature(t: Tables) -> DataFrame:
 
 
 def tally(model, rows: DataFrame, features: list[str]) -> DataFrame:
-    """How many rows of each class the model gives each class."""
-    scored = md.with_probability(model, rows, features, ["y"])
-    return scored.groupBy("y", "predicted").agg(F.count(F.lit(1)).alias("rows"))
+    """How many rows of each class the model gives each class. Equal rows are counted first and scored once."""
+    alike = rows.groupBy(*features, "y").agg(F.count(F.lit(1)).alias("rows"))
+    scored = md.with_probability(model, alike, features, ["y", "rows"])
+    return scored.groupBy("y", "predicted").agg(F.sum("rows").alias("rows"))
 
 
 def binary_odds(t: Tables) -> DataFrame:

@@ -33,10 +33,10 @@ def train(df: DataFrame, out: str, y: str = "fm_target", key: str = "fm_client_i
     check_target(df, y)
     rows = md.features_target(df, y, key)
     features = [c for c in q.split_columns(rows).numeric if c != y]
-    marked = settle(stratified_split(df.select(key, y, *features), y, [key], test), "split")
+    marked = settle(md.spread(stratified_split(df.select(key, y, *features), y, [key], test)), "split")
     sides = {False: marked.filter("NOT is_test").drop("is_test"), True: marked.filter("is_test").drop("is_test")}
     models = {name: fit(sides[False], features, y) for name, fit in CANDIDATES.items()}
-    scored = [(name, md.with_probability(model, sides[True], features, [y])) for name, model in models.items()]
+    scored = [(name, settle(md.with_probability(model, sides[True], features, [y]), "scores")) for name, model in models.items()]
     table = settle(mt.compare_models(scored, y, "p"), "metrics")
     chosen = mt.select_best(table).select("model").first()[0]
     md.save_model(models[chosen], f"{out}/model")

@@ -241,3 +241,17 @@ def test_queries_fit_the_whole_model(tables, monkeypatch, query, learner, settin
     with pytest.raises(Asked) as asked:
         REGISTRY.queries()[query](tables.spark, SF)
     assert asked.value.args[0] == settings
+
+
+@pytest.mark.parametrize("fit, kind", [(md.fit_forest, "RandomForestClassifier"), (md.fit_svm, "LinearSVC"), (md.fit_tree, "DecisionTreeClassifier")])
+def test_fits_use_every_core_on_rows_of_one_file(spark, monkeypatch, fit, kind):
+    rows = spark.range(400, numPartitions=1).selectExpr("id AS x", "CAST(id % 2 AS INT) AS y")
+    seen = []
+    known = getattr(md, kind).fit
+    monkeypatch.setattr(getattr(md, kind), "fit", lambda self, df, *a: seen.append(df.rdd.getNumPartitions()) or known(self, df, *a))
+    fit(rows, ["x"], "y", **({"trees": 2, "depth": 2} if fit is md.fit_forest else {}))
+    assert seen == [spark.sparkContext.defaultParallelism] and seen[0] > 1
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    assert md.spread(spark.range(10), 40 * md.ROWS_PER_TASK).rdd.getNumPartitions() == 40
