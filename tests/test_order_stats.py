@@ -115,3 +115,18 @@ def test_running_totals_of_few_and_no_rows(spark):
     few = spark.createDataFrame([(2, 5), (1, 3)], "p int, n int")
     assert sorted(map(tuple, os_.running_totals(few, ["p"], {"t": F.col("n")}).collect())) == [(1, 3, 3), (2, 5, 8)]
     assert os_.running_totals(few.filter("p > 9"), ["p"], {"t": F.col("n")}).count() == 0
+
+
+def test_slice_is_cut_by_two_keys(spark, monkeypatch):
+    """Repeated and null keys, any depth; rows are compared with two keys, never looked up among many."""
+    monkeypatch.setattr(os_, "_with_range", None)
+    monkeypatch.setattr(os_, "SLICE_ROWS", 50)
+    monkeypatch.setattr(os_, "SLICE_SAMPLE", 100)
+    monkeypatch.setattr(os_, "SLICE_MARGIN", 5)
+    df = spark.range(2000).selectExpr("CASE WHEN id % 10 > 0 THEN id % 90 END AS a", "id AS b")
+    want = sorted(((r["a"], r["b"]) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for skip in (0, 150, 990, 1995, 2000):
+        got, total = os_.slice_in_order(df, ["a", "b"], skip, 10)
+        assert total == 2000 and [(r["a"], r["b"]) for r in got.collect()] == want[skip : skip + 10]
+    got, _ = os_.slice_in_order(df, ["a"], 995, 10)
+    assert [r["a"] for r in got.collect()] == [a for a, _ in want[995:1005]]
