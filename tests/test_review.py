@@ -149,3 +149,11 @@ def test_files_of_one_event_are_numbered_apart(frame):
     assert got == [("a.py", 1, "x = 1"), ("a.py", 2, "y = eval(q)"), ("b.py", 50, "z = 2"), ("b.py", 51, "w = 3")]
     found = frame([(1, "a.py", "uses eval on input", 2), (1, "b.py", "uses eval on input", 51)], "diff_id int, filename string, description string, line int")
     assert {r["filename"]: r["reason"] is None for r in rv.evidence(found, diffs).collect()} == {"a.py": True, "b.py": False}
+
+
+def test_tasks_have_bounded_patches(spark, monkeypatch):
+    monkeypatch.setattr(rv, "PATCH_BYTES", 100)
+    diffs = spark.range(300).selectExpr("id AS diff_id", "'@@ -1 +1 @@\\n+token = \"a\"' AS patch")
+    held = diffs.selectExpr("sum(octet_length(patch))").first()[0]
+    for lines in (rv.diff_lines(diffs), rv.scan_secrets(diffs, number=True)):
+        assert lines.count() == 300 and lines.rdd.getNumPartitions() == -(-held // 100)
