@@ -8,7 +8,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.components import linked
+from millrace.llm.components import components, linked
 from millrace.session import settle
 
 SHINGLE = 10
@@ -17,6 +17,9 @@ ROWS = 2
 BANDS = 7
 #: 64-bit words of the maps that keep hopeless pairs from being rows; a power of two.
 WORDS = 16
+#: Lists of more lines than this are compared with several leaders, as often as said, before all their pairs are.
+LONG = 16
+ROUNDS = 2
 #: Chance that a pair at the limit agrees in fewer coordinates than are asked for before it is compared.
 MISS = 5e-4
 
@@ -85,17 +88,18 @@ def _similar(x: Column, y: Column, percent: int) -> Column:
 
 
 def line_facts(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, n, b0, b1, ...): how many distinct shingles a line has, and a map of WORDS * 64 bits with those of their hashes."""
+    """(node, n, b0, b1, ...): how many distinct shingles a line has, and a map of WORDS * 64 bits of which each shingle flips its own."""
     sets = texts.select("node", F.explode(_shingle_set(F.col("line"), shingle)).alias("h"))
     word = f"(shiftrightunsigned(h, 6) & {WORDS - 1})"
-    maps = [F.expr(f"bit_or(CASE WHEN {word} = {j} THEN shiftleft(1L, int(h & 63)) ELSE 0L END) AS b{j}") for j in range(WORDS)]
+    maps = [F.expr(f"bit_xor(CASE WHEN {word} = {j} THEN shiftleft(1L, int(h & 63)) ELSE 0L END) AS b{j}") for j in range(WORDS)]
     return sets.groupBy("node").agg(F.count("*").alias("n"), *maps)
 
 
 def _may_be_similar(x: str, y: str, percent: int) -> Column:
     """Of the facts of two lines: sizes that fit, and maps that differ in no more bits than the sets may differ in shingles.
 
-    Every bit in which two maps differ stands for a shingle that only one set has, so no similar pair fails.
+    What both sets have flips the same bits of both maps, so every bit in which they differ stands for a shingle that only
+    one set has, and no similar pair fails.
     """
     size = {s: F.col(f"{s}n") for s in (x, y)}
     sizes = (size[x] * 100 >= size[y] * percent) & (size[y] * 100 >= size[x] * percent)
@@ -109,7 +113,8 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
     Lines that agree in all ``rows`` coordinates of one of ``count`` bands share a list. A list is compared with leaders
     (see ``linked``). What then still stands in a list beside another component is joined to it under conditions on the
     coordinates, the sizes and bit maps of the shingles, which no similar pair fails; only pairs that fulfil them are
-    rows, and those are compared exactly. Within this function a line is known by a number, and lists hold 8 bits of
+    rows, and those are compared exactly. Long lists are joined to some leaders first, as many as the root of their
+    length: most of a large group is one component then, and pairs within it are not compared. Within this function a line is known by a number, and lists hold 8 bits of
     each coordinate: what agrees by chance is compared and dropped.
     """
     coordinates = rows * count
@@ -135,17 +140,35 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
         return reduce(add, equal) >= least
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        both = settle(pairs, "pairs").join(side("a"), "a").join(side("b"), "b")
         sets = both.select("a", "b", _shingle_set(F.col("a_line"), shingle).alias("x"), _shingle_set(F.col("b_line"), shingle).alias("y"))
         return sets.where(_similar(F.col("x"), F.col("y"), percent)).select("a", "b")
 
     def rest(mixed: DataFrame) -> DataFrame:
         asked = texts.join(mixed.select("node").distinct(), "node", "left_semi")
         sides = settle(mixed.join(line_facts(asked, shingle), "node"), "sides")
-        side = lambda s: sides.select("key", *[F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "key"])
-        apart = (F.col("x_node") < F.col("y_node")) & (F.col("x_component") != F.col("y_component"))
-        both = side("x").join(side("y"), "key").where(apart & near("x_", "y_") & _may_be_similar("x_", "y_", percent))
-        return confirm(both.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
+        named = lambda rows, s: rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "key"])
+        apart = (F.col("x_component") != F.col("y_component")) & near("x_", "y_") & _may_be_similar("x_", "y_", percent)
+        found = lambda both: settle(confirm(both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()), "found")
+
+        def unsettled(rows: DataFrame) -> DataFrame:
+            """Lists with several components, and how many lines they have."""
+            return rows.groupBy("key").agg(F.count("*").alias("listed"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "listed")
+
+        now, links = sides, []
+        for turn in range(ROUNDS):
+            rows = now.join(unsettled(now).where(F.col("listed") > LONG), "key")
+            order = F.xxhash64(F.lit("leaders"), F.lit(turn), "node")
+            slot = F.pmod(F.xxhash64(F.lit("slot"), F.lit(turn), "node"), F.ceil(F.sqrt("listed")))
+            heads = rows.groupBy("key", slot.alias("slot")).agg(F.min(F.struct(order.alias("order"), "node")).alias("top")).select("key", F.col("top.node").alias("node"))
+            links.append(found(named(rows, "x").join(named(rows.join(heads, ["key", "node"], "left_semi"), "y"), "key").where(apart)))
+            of = now.select("node", "component").distinct()
+            ends = links[-1].join(of.toDF("a", "a_component"), "a").join(of.toDF("b", "b_component"), "b")
+            merged = settle(components(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))), "merged").toDF("component", "merged")
+            now = now.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component")).select(*sides.columns)
+        now = now.join(unsettled(now), "key", "left_semi")
+        links.append(found(named(now, "x").join(named(now, "y"), "key").where((F.col("x_node") < F.col("y_node")) & apart)))
+        return reduce(DataFrame.unionByName, links)
 
     labels = linked(lists, ["key"], near, confirm, rest)
     again = lambda c: named.select(F.col("n").alias(c), F.col("node").alias(f"{c}_hash"))

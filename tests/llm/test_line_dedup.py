@@ -135,6 +135,31 @@ def test_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
     assert all(links == 0 and most <= 2 * n and listed <= ld.BANDS * n for (links, most, listed), n in zip(sizes, (100, 200, 400))), sizes
 
 
+def test_a_large_group_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(31)
+    base = [rng.choice("abcdefghijklmnop") for _ in range(300)]
+    made = []
+
+    def counted(df, name="settled", settle=ld.settle):
+        out = settle(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ld, "settle", counted)
+
+    def variant(edits):
+        other = list(base)
+        for _ in range(edits):
+            other[rng.randrange(300)] = rng.choice("uvwxyz")
+        return "".join(other)
+
+    rows = [(i, variant(2 + i % 3)) for i in range(240)]
+    got = ld.removed_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r.removed) for r in got.collect()) == [(r[0], r[3]) for r in brute(rows)]
+    assert sum(made) <= 15 * len(rows), made
+
+
 def test_pairs_that_fail_the_maps_are_not_similar(spark):
     rng = random.Random(21)
     rows = []
