@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from millrace.session import settle
 
@@ -18,11 +18,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("least"))
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether every upper end has one edge and no lower end is an upper one."""
-    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return seen.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """``edges`` as a written table, and what tells whether it is the same set as another: a count and a hash of all edges."""
+    seen = Observation()
+    table = settle(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")), "edges")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -30,26 +30,27 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
 
     ``edges`` has the columns a and b, of one orderable type without nulls; loops and repeats do no harm and an empty
     table gives an empty one. Each round hooks both ends of every edge to the least neighbour of one of them and then
-    shortens paths; a round reads what the one before wrote to the shared folder, so lineage does not grow. The number
-    of rounds is logarithmic in the longest path; a node with very many edges is a key of a join that Spark can split.
+    shortens paths; a round reads what the one before wrote to the shared folder, so lineage does not grow, and writes once.
+    Counts taken meanwhile tell whether an edge changed; what does not change is stars. The number of rounds is logarithmic
+    in the longest path; a node with very many edges is a key of a join that Spark can split.
     With ``rounds`` it ends after so many at most, and nodes of one component may still have different labels; equal
     labels always mean one component.
     """
-    edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    turn = 0
-    while turn != rounds and not _stars(edges):
+    edges, now = _written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    turn, before = 0, None
+    while turn != rounds and now != before and now[0]:
         turn += 1
         # Large star: neighbours above a node move to the least node that it knows.
         least = _least(edges)
         either = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = either.where("a > b").select(F.col("a").alias("up"), F.col("b").alias("node")).join(least, "node")
         large = large.select(F.col("up").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
-        large = settle(large, "edges")
         # Small star: a node and its neighbours below it move to the least of them.
         below = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"), F.count("*").alias("n"))
         small = large.join(below, large["a"] == below["node"])
         hooked = small.select("b", "least").where("b <> least").toDF("a", "b").unionByName(below.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
-        edges = settle(hooked, "edges")
+        before = now
+        edges, now = _written(hooked)
     if turn == rounds:  # not stars yet, perhaps
         return _least(edges).withColumnRenamed("least", "component")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -83,16 +83,18 @@ def signatures(lines: DataFrame, shingle: int, count: int) -> DataFrame:
 
 
 def _similar(x: Column, y: Column, percent: int) -> Column:
-    common = F.size(F.array_intersect(x, y)).cast("bigint")
-    return common * 100 >= percent * (F.size(x) + F.size(y) - common)
+    """Of two sets, each worked out once: Spark would do so anew for every time a filter names it."""
+    common = lambda sets: F.size(F.array_intersect(sets["x"], sets["y"])).cast("bigint")
+    return _bound(F.struct(x.alias("x"), y.alias("y")), lambda sets: common(sets) * (100 + percent) >= percent * (F.size(sets["x"]) + F.size(sets["y"])))
 
 
 def line_facts(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, n, b0, b1, ...): how many distinct shingles a line has, and a map of WORDS * 64 bits of which each shingle flips its own."""
+    """(node, n, bits): how many distinct shingles a line has, and a map of WORDS * 64 bits of which each shingle flips its own."""
     sets = texts.select("node", F.explode(_shingle_set(F.col("line"), shingle)).alias("h"))
     word = f"(shiftrightunsigned(h, 6) & {WORDS - 1})"
     maps = [F.expr(f"bit_xor(CASE WHEN {word} = {j} THEN shiftleft(1L, int(h & 63)) ELSE 0L END) AS b{j}") for j in range(WORDS)]
-    return sets.groupBy("node").agg(F.count("*").alias("n"), *maps)
+    words = sets.groupBy("node").agg(F.count("*").alias("n"), *maps)
+    return words.select("node", "n", F.array(*[f"b{j}" for j in range(WORDS)]).alias("bits"))  # one column, as plans name it at every step
 
 
 def _may_be_similar(x: str, y: str, percent: int) -> Column:
@@ -103,7 +105,7 @@ def _may_be_similar(x: str, y: str, percent: int) -> Column:
     """
     size = {s: F.col(f"{s}n") for s in (x, y)}
     sizes = (size[x] * 100 >= size[y] * percent) & (size[y] * 100 >= size[x] * percent)
-    apart = reduce(add, [F.bit_count(F.col(f"{x}b{j}").bitwiseXOR(F.col(f"{y}b{j}"))) for j in range(WORDS)])
+    apart = reduce(add, [F.bit_count(F.col(f"{x}bits")[j].bitwiseXOR(F.col(f"{y}bits")[j])) for j in range(WORDS)])
     return sizes & (apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent))
 
 
@@ -123,10 +125,9 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
     found = signatures(lines, shingle, coordinates)
     names = [f"s{i}" for i in range(len(packed))]
     signed = settle(found.select(F.monotonically_increasing_id().alias("n"), "node", F.array(*keys).alias("keys"), *[c.alias(s) for c, s in zip(packed, names)]), "signed")
-    posted = signed.select(F.col("n").alias("node"), F.explode("keys").alias("key"))
+    posted = signed.select(F.col("n").alias("node"), F.explode("keys").alias("key"), *names)
     shared = settle(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
-    lists = posted.join(shared, "key").join(signed.select(F.col("n").alias("node"), *names), "node")
-    lists = settle(lists, "lists")
+    lists = settle(posted.join(shared, "key").select("node", "key", *names), "lists")
     named = signed.select("n", "node")
     wanted = named.join(lists.select(F.col("node").alias("n")).distinct(), "n", "left_semi")
     texts = lines.select("node", "line").join(wanted, "node").groupBy("n").agg(F.first("line").alias("line"))
@@ -141,8 +142,8 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
 
     def confirm(pairs: DataFrame) -> DataFrame:
         both = settle(pairs, "pairs").join(side("a"), "a").join(side("b"), "b")
-        sets = both.select("a", "b", _shingle_set(F.col("a_line"), shingle).alias("x"), _shingle_set(F.col("b_line"), shingle).alias("y"))
-        return sets.where(_similar(F.col("x"), F.col("y"), percent)).select("a", "b")
+        x, y = (_shingle_set(F.col(f"{s}_line"), shingle) for s in "ab")
+        return both.where(_similar(x, y, percent)).select("a", "b")
 
     def rest(mixed: DataFrame) -> DataFrame:
         asked = texts.join(mixed.select("node").distinct(), "node", "left_semi")
@@ -164,7 +165,7 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
             links.append(found(named(rows, "x").join(named(rows.join(heads, ["key", "node"], "left_semi"), "y"), "key").where(apart)))
             of = now.select("node", "component").distinct()
             ends = links[-1].join(of.toDF("a", "a_component"), "a").join(of.toDF("b", "b_component"), "b")
-            merged = settle(components(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))), "merged").toDF("component", "merged")
+            merged = settle(components(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")), ROUNDS), "merged").toDF("component", "merged")
             now = now.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component")).select(*sides.columns)
         now = now.join(unsettled(now), "key", "left_semi")
         links.append(found(named(now, "x").join(named(now, "y"), "key").where((F.col("x_node") < F.col("y_node")) & apart)))

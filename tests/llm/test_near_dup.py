@@ -6,9 +6,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from millrace.llm import near_dup
+from millrace.llm import components as stars, near_dup
 from millrace.llm.components import components
 from millrace.llm.queries import op3_near_duplicates
+from millrace.session import settle
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -96,6 +97,19 @@ def test_components(spark, frame):
     assert components(frame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_start_one_write_a_round(spark, frame, monkeypatch):
+    written, started = [], "components of a path"
+    monkeypatch.setattr(stars, "settle", lambda df, name: written.append(name) or settle(df, name))
+    spark.sparkContext.setJobGroup(started, started)
+    try:
+        labels = components(frame([(n, n + 1) for n in range(64)], "a bigint, b bigint"))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(started))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.component for r in labels.collect()} == {0} and labels.count() == 65
+    assert len(written) <= 8 and jobs <= 60, (written, jobs)
+
+
 def test_shingle_sets_count():
     texts = ["", None, "a", "a b c d e", "a b c d e f a b c d e f", "é\x0bé é\x0cé é"]
     assert [len(s) for s in near_dup.shingle_sets(pa.array(texts))] == [len(shingles(t)) for t in texts]
