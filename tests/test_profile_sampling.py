@@ -216,3 +216,11 @@ def test_pages_far_down_read_their_range(spark, monkeypatch):
     past = page_query(df, 501, 10, ["a", "b"]).collect()
     assert [tuple(r) for r in past] == [(None, None, 5000)]
     assert [tuple(r) for r in page_query(df.limit(0), 1, 10, ["a", "b"]).collect()] == [(None, None, 0)]
+
+
+def test_wide_tables_are_made_on_every_core(spark, tables):
+    from millrace.plans.queries_profile import wide_customers
+
+    wide = wide_customers(tables, 3)
+    assert wide.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert wide.count() == tables.customer.count()
