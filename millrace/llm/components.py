@@ -61,10 +61,10 @@ def linked(lists: DataFrame, by: list[str], near: Callable[[str, str], Column],
 
     ``lists`` has a row for each list (columns ``by``) and node in it, and is read several times, so it should be a
     written table. Pairs of a list are not written out: its nodes are compared with one leader, linked nodes become one
-    component, and lists within a component are done. A pair with a leader is a row only if ``near``, given the names of
+    component, and lists within a component or of two nodes are done. A pair with a leader is a row only if ``near``, given the names of
     both sides as prefixes of columns, holds; further columns of ``lists`` are there for it. ``confirm`` turns pairs (a, b)
     into those that hold. After ``stars`` rounds with other leaders, ``rest`` gets the lists (with ``component``) that
-    still have several components and returns the links (a, b) between their nodes that are left; it decides how to
+    still have several components, and more than two nodes, and returns the links (a, b) between their nodes that are left; it decides how to
     find them without all pairs of a list.
     """
     extra = [c for c in lists.columns if c not in (*by, "node")]
@@ -74,7 +74,9 @@ def linked(lists: DataFrame, by: list[str], near: Callable[[str, str], Column],
         if labels is not None:
             own = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("order"), "node", "component", *extra)
-        heads = own.groupBy(*by).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(rank).alias("top")).where("low <> high")
+        heads = own.groupBy(*by).agg(F.count("*").alias("listed"), F.min("component").alias("low"), F.max("component").alias("high"), F.min(rank).alias("top")).where("low <> high")
+        if turn:  # the one pair of a list of two has been compared
+            heads = heads.where("listed > 2")
         if turn < stars:
             heads = heads.select(*by, *[F.col(f"top.{c}").alias(f"top_{c}") for c in ("node", "component", *extra)])
             named = own.select(*by, *[F.col(c).alias(f"own_{c}") for c in ("node", "component", *extra)])

@@ -8,6 +8,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.functions.expressions import any_of
 from millrace.llm.components import components, linked
 from millrace.session import settle
 
@@ -19,7 +20,9 @@ BANDS = 7
 WORDS = 16
 #: Lists of more lines than this are compared with several leaders, as often as said, before all their pairs are.
 LONG = 16
-ROUNDS = 2
+ROUNDS = 1
+#: Leaders that every list is compared with before.
+STARS = 1
 #: Chance that a pair at the limit agrees in fewer coordinates than are asked for before it is compared.
 MISS = 5e-4
 
@@ -67,34 +70,34 @@ def line_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def signatures(lines: DataFrame, shingle: int, count: int) -> DataFrame:
-    """(node, coords): for each distinct line ``count`` MinHash coordinates of 32 bits.
+    """(node, coords): for each distinct line ``count`` MinHash coordinates by one permutation.
 
-    Shingles are rows that are hashed and folded to minima before the shuffle, every shingle of every line. The
-    shingle's 64-bit hash is hashed again with the number of a pair of coordinates, which take 32 bits each.
+    The upper half of a shingle's hash deals it to one coordinate, which is the least hash it gets, or null if it gets none. Shingles are rows
+    that are hashed and folded to minima before the shuffle, every shingle of every line. Two lines differ in no more
+    coordinates than they have shingles that are not in both, so lines of few shingles are found more surely than by
+    independent coordinates.
     """
-    pairs = (count + 1) // 2
     wide = lines.select("node.x", "node.y", "line", _shingle_bytes(F.col("line")).alias("data"))  # below the explode: once per line
     shingles = wide.select("x", "y", "data", F.explode(_places(F.col("line"), shingle)).alias("at"))
     hashed = shingles.select("x", "y", F.xxhash64(F.substring("data", F.col("at") * 4 + 1, F.lit(4 * shingle))).alias("h"))
-    again = hashed.select("x", "y", *[F.xxhash64("h", F.lit(j)).alias(f"v{j}") for j in range(pairs)])
-    halves = [half for j in range(pairs) for half in (F.shiftright(f"v{j}", 32), F.col(f"v{j}").bitwiseAND(0xFFFFFFFF) - (1 << 31))]
-    least = again.groupBy("x", "y").agg(*[F.min(half).alias(f"m{j}") for j, half in enumerate(halves[:count])])
-    return least.select(F.struct("x", "y").alias("node"), F.array(*[F.col(f"m{j}").cast("int") for j in range(count)]).alias("coords"))
+    hashed = hashed.withColumn("bin", F.expr(f"CAST(shiftrightunsigned(shiftrightunsigned(h, 32) * {count}L, 32) AS INT)"))
+    least = hashed.groupBy("x", "y").agg(*[F.expr(f"min(h) FILTER (WHERE bin = {j})").alias(f"m{j}") for j in range(count)])
+    return least.select(F.struct("x", "y").alias("node"), F.array(*[f"m{j}" for j in range(count)]).alias("coords"))
 
 
-def _similar(x: Column, y: Column, percent: int) -> Column:
-    """Of two sets, each worked out once: Spark would do so anew for every time a filter names it."""
-    common = lambda sets: F.size(F.array_intersect(sets["x"], sets["y"])).cast("bigint")
-    return _bound(F.struct(x.alias("x"), y.alias("y")), lambda sets: common(sets) * (100 + percent) >= percent * (F.size(sets["x"]) + F.size(sets["y"])))
+def _similar(pairs: DataFrame, x: Column, y: Column, percent: int) -> DataFrame:
+    """(a, b) of ``pairs`` whose sets x and y are similar. As rows of a generator the sets are worked out once, not for every time they are named."""
+    sets = pairs.select("a", "b", F.inline(F.array(F.struct(x.alias("x"), y.alias("y")))))
+    common = F.size(F.array_intersect("x", "y")).cast("bigint")
+    return sets.where(common * (100 + percent) >= percent * (F.size("x") + F.size("y"))).select("a", "b")
 
 
 def line_facts(texts: DataFrame, shingle: int) -> DataFrame:
     """(node, n, bits): how many distinct shingles a line has, and a map of WORDS * 64 bits of which each shingle flips its own."""
     sets = texts.select("node", F.explode(_shingle_set(F.col("line"), shingle)).alias("h"))
-    word = f"(shiftrightunsigned(h, 6) & {WORDS - 1})"
-    maps = [F.expr(f"bit_xor(CASE WHEN {word} = {j} THEN shiftleft(1L, int(h & 63)) ELSE 0L END) AS b{j}") for j in range(WORDS)]
-    words = sets.groupBy("node").agg(F.count("*").alias("n"), *maps)
-    return words.select("node", "n", F.array(*[f"b{j}" for j in range(WORDS)]).alias("bits"))  # one column, as plans name it at every step
+    flips = sets.select("node", F.expr(f"CAST(shiftrightunsigned(h, 6) & {WORDS - 1} AS INT)").alias("word"), F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit"))
+    words = flips.groupBy("node").agg(F.count("*").alias("n"), *[F.expr(f"bit_xor(bit) FILTER (WHERE word = {j})").alias(f"b{j}") for j in range(WORDS)])
+    return words.select("node", "n", F.array(*[F.coalesce(f"b{j}", F.lit(0).cast("bigint")) for j in range(WORDS)]).alias("bits"))  # one column, as plans name it at every step
 
 
 def _may_be_similar(x: str, y: str, percent: int) -> Column:
@@ -105,58 +108,61 @@ def _may_be_similar(x: str, y: str, percent: int) -> Column:
     """
     size = {s: F.col(f"{s}n") for s in (x, y)}
     sizes = (size[x] * 100 >= size[y] * percent) & (size[y] * 100 >= size[x] * percent)
-    apart = reduce(add, [F.bit_count(F.col(f"{x}bits")[j].bitwiseXOR(F.col(f"{y}bits")[j])) for j in range(WORDS)])
+    apart = reduce(add, [F.bit_count(F.get(f"{x}bits", F.lit(j)).bitwiseXOR(F.get(f"{y}bits", F.lit(j)))) for j in range(WORDS)])
     return sizes & (apart * (100 + percent) <= (size[x] + size[y]) * (100 - percent))
 
 
 def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, count: int = BANDS) -> DataFrame:
     """(node, component) of the distinct lines that have a near-duplicate among the others.
 
-    Lines that agree in all ``rows`` coordinates of one of ``count`` bands share a list. A list is compared with leaders
-    (see ``linked``). What then still stands in a list beside another component is joined to it under conditions on the
-    coordinates, the sizes and bit maps of the shingles, which no similar pair fails; only pairs that fulfil them are
-    rows, and those are compared exactly. Long lists are joined to some leaders first, as many as the root of their
+    Lines that agree in all ``rows`` coordinates of one of ``count`` bands share a list, if one of them is not null. A list is
+    compared with a leader (see ``linked``), and what then still stands in it beside another component is joined to that,
+    under conditions on the coordinates, the sizes and bit maps of the shingles, which no similar pair fails; only pairs that
+    fulfil them are rows, and those are compared exactly. Long lists are joined to some leaders first, as many as the root of their
     length: most of a large group is one component then, and pairs within it are not compared. Within this function a line is known by a number, and lists hold 8 bits of
     each coordinate: what agrees by chance is compared and dropped.
     """
     coordinates = rows * count
-    packed = [reduce(add, [F.shiftleft(F.col("coords")[j].cast("bigint").bitwiseAND(255), 8 * (j - at)) for j in range(at, min(at + 7, coordinates))]) for at in range(0, coordinates, 7)]
-    keys = [F.xxhash64(F.lit(b), *[F.col("coords")[b * rows + r] for r in range(rows)]) for b in range(count)]
+    byte = lambda j: F.coalesce(F.shiftright(F.col("coords")[j], 16).bitwiseAND(255), F.lit(0))
+    packed = [reduce(add, [F.shiftleft(byte(j), 8 * (j - at)) for j in range(at, min(at + 7, coordinates))]) for at in range(0, coordinates, 7)]
+    bands = [[F.col("coords")[b * rows + r] for r in range(rows)] for b in range(count)]
+    keys = [F.when(any_of([c.isNotNull() for c in band]), F.xxhash64(F.lit(b), *band)) for b, band in enumerate(bands)]
     found = signatures(lines, shingle, coordinates)
     names = [f"s{i}" for i in range(len(packed))]
     signed = settle(found.select(F.monotonically_increasing_id().alias("n"), "node", F.array(*keys).alias("keys"), *[c.alias(s) for c, s in zip(packed, names)]), "signed")
-    posted = signed.select(F.col("n").alias("node"), F.explode("keys").alias("key"), *names)
+    posted = signed.select(F.col("n").alias("node"), F.explode("keys").alias("key"), *names).where("key IS NOT NULL")
     shared = settle(posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
     lists = settle(posted.join(shared, "key").select("node", "key", *names), "lists")
-    named = signed.select("n", "node")
+    named = signed.select("n", "node.x", "node.y")
     wanted = named.join(lists.select(F.col("node").alias("n")).distinct(), "n", "left_semi")
-    texts = lines.select("node", "line").join(wanted, "node").groupBy("n").agg(F.first("line").alias("line"))
+    texts = lines.select("node.x", "node.y", "line").join(wanted, ["x", "y"]).groupBy("n").agg(F.first("line").alias("line"))
     texts = settle(texts.withColumnRenamed("n", "node"), "lines")
+    sides = settle(lists.join(line_facts(texts, shingle), "node"), "sides")
     side = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
     least = least_matches(coordinates, percent / 100)
 
     def near(x: str, y: str) -> Column:
+        """Few bytes of the coordinates differ, which their eighth bits count, and the facts allow it."""
+        low, high = (F.lit(int(f"{byte:02x}" * 7, 16)) for byte in (0x7F, 0x80))
         apart = [F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}")) for s in names]
-        equal = [(F.shiftright(apart[j // 7], 8 * (j % 7)).bitwiseAND(255) == 0).cast("int") for j in range(coordinates)]
-        return reduce(add, equal) >= least
+        differ = reduce(add, [F.bit_count((v.bitwiseAND(low) + low).bitwiseOR(v).bitwiseAND(high)) for v in apart])
+        return (differ <= coordinates - least) & _may_be_similar(x, y, percent)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         both = settle(pairs, "pairs").join(side("a"), "a").join(side("b"), "b")
         x, y = (_shingle_set(F.col(f"{s}_line"), shingle) for s in "ab")
-        return both.where(_similar(x, y, percent)).select("a", "b")
+        return _similar(both, x, y, percent)
 
     def rest(mixed: DataFrame) -> DataFrame:
-        asked = texts.join(mixed.select("node").distinct(), "node", "left_semi")
-        sides = settle(mixed.join(line_facts(asked, shingle), "node"), "sides")
-        named = lambda rows, s: rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in sides.columns if c != "key"])
-        apart = (F.col("x_component") != F.col("y_component")) & near("x_", "y_") & _may_be_similar("x_", "y_", percent)
+        named = lambda rows, s: rows.select("key", *[F.col(c).alias(f"{s}_{c}") for c in mixed.columns if c != "key"])
+        apart = (F.col("x_component") != F.col("y_component")) & near("x_", "y_")
         found = lambda both: settle(confirm(both.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()), "found")
 
         def unsettled(rows: DataFrame) -> DataFrame:
             """Lists with several components, and how many lines they have."""
             return rows.groupBy("key").agg(F.count("*").alias("listed"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key", "listed")
 
-        now, links = sides, []
+        now, links = mixed, []
         for turn in range(ROUNDS):
             rows = now.join(unsettled(now).where(F.col("listed") > LONG), "key")
             order = F.xxhash64(F.lit("leaders"), F.lit(turn), "node")
@@ -166,13 +172,13 @@ def line_components(lines: DataFrame, shingle: int = SHINGLE, percent: int = PER
             of = now.select("node", "component").distinct()
             ends = links[-1].join(of.toDF("a", "a_component"), "a").join(of.toDF("b", "b_component"), "b")
             merged = settle(components(ends.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")), ROUNDS), "merged").toDF("component", "merged")
-            now = now.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component")).select(*sides.columns)
+            now = now.join(merged, "component", "left").withColumn("component", F.coalesce("merged", "component")).select(*mixed.columns)
         now = now.join(unsettled(now), "key", "left_semi")
         links.append(found(named(now, "x").join(named(now, "y"), "key").where((F.col("x_node") < F.col("y_node")) & apart)))
         return reduce(DataFrame.unionByName, links)
 
-    labels = linked(lists, ["key"], near, confirm, rest)
-    again = lambda c: named.select(F.col("n").alias(c), F.col("node").alias(f"{c}_hash"))
+    labels = linked(sides, ["key"], near, confirm, rest, STARS)
+    again = lambda c: named.select(F.col("n").alias(c), F.struct("x", "y").alias(f"{c}_hash"))
     both = labels.join(again("node"), "node").join(again("component"), "component")
     return both.select(F.col("node_hash").alias("node"), F.col("component_hash").alias("component"))
 
@@ -186,12 +192,12 @@ def removed_occurrences(docs: DataFrame, id_col: str = "doc_id", **settings: int
     """
     lines = line_rows(docs, id_col)
     labels = line_components(lines, **settings)
-    joined = lines.select("doc_id", "text_key", "at", "node").join(labels, "node", "left")
-    occurrences = joined.select("doc_id", "text_key", "at", F.coalesce("component", "node").alias("component"))
-    occurrences = settle(occurrences, "occurrences")
+    labels = labels.select("node.x", "node.y", F.col("component.x").alias("cx"), F.col("component.y").alias("cy"))
+    joined = lines.select("doc_id", "text_key", "at", "node.x", "node.y").join(labels, ["x", "y"], "left")
+    occurrences = settle(joined.select("doc_id", "text_key", "at", F.coalesce("cx", "x").alias("cx"), F.coalesce("cy", "y").alias("cy")), "occurrences")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key", "at")
-    several = occurrences.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
-    return occurrences.join(several, "component").where(F.col("first") != order).select("doc_id", "text_key", "at")
+    several = occurrences.groupBy("cx", "cy").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select("cx", "cy", "first")
+    return occurrences.join(several, ["cx", "cy"]).where(F.col("first") != order).select("doc_id", "text_key", "at")
 
 
 def removed_lines(docs: DataFrame, **settings: int) -> DataFrame:

@@ -182,3 +182,44 @@ def test_pairs_that_fail_the_maps_are_not_similar(spark):
 def test_only_built_in_operations_on_the_path(spark):
     plan = op7_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "ExternalRDD"))
+
+
+def test_coordinates_differ_by_no_more_than_the_shingles_do(spark):
+    rng, rows = random.Random(41), []
+    for k in range(300):
+        head = "".join(chr(rng.randrange(0x4E00, 0x9E00)) for _ in range(rng.randint(12, 60)))
+        rows += [(2 * k + side, head + chr(0xAC00 + side)) for side in (0, 1)]  # one shingle of its own each
+    lines = spark.createDataFrame(rows, "n bigint, line string").selectExpr("struct(n AS x, 0L AS y) AS node", "line")
+    found = {r.node.x: r.coords for r in ld.signatures(lines, ld.SHINGLE, ld.ROWS * ld.BANDS).collect()}
+    assert max(sum(x != y for x, y in zip(found[2 * k], found[2 * k + 1])) for k in range(300)) <= 2
+
+
+def test_pairs_at_the_limit_are_removed(spark):
+    rng, rows, pairs = random.Random(43), [], 1500
+    for same, *own in [(9, 1, 2), (36, 6, 6), (105, 17, 18)]:
+        for _ in range(pairs):
+            head = "".join(chr(rng.randrange(0x4E00, 0x9E00)) for _ in range(same + 9))
+            rows += [(len(rows) + side, head + "".join(chr(rng.randrange(0xAC00, 0xD700)) for _ in range(n))) for side, n in enumerate(own)]
+    gone = ld.removed_lines(spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "text"])).repartition(8)).where("n_removed = 1")
+    by_case = dict(gone.groupBy(F.expr(f"CAST(doc_id / {2 * pairs} AS INT)").alias("k")).count().collect())
+    print("removed of", pairs, by_case)
+    assert all(0.99 * pairs <= by_case[k] <= pairs for k in range(3))
+
+
+def test_the_pair_of_a_list_of_two_is_compared_once(spark, monkeypatch):
+    rng, rows, made = random.Random(47), [], []
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    for k in range(60):
+        head = text(150)
+        rows += [(2 * k + side, head + text(60)) for side in (0, 1)]  # alike, yet not similar
+
+    def counted(df, name="settled", settle=ld.settle):
+        out = settle(df, name)
+        made.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ld, "settle", counted)
+    monkeypatch.setattr(components, "settle", counted)
+    assert ld.removed_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).where("n_removed > 0").count() == 0
+    assert max(n for name, n in made if name == "lists") > 60 and sum(n for name, n in made if name == "mixed") == 0
+    assert len(made) <= 20, made
