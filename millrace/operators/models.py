@@ -12,12 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -29,6 +24,7 @@ from pyspark.sql import functions as F
 from millrace.functions.gram import collect_gram, grams_by
 from millrace.functions.hashing import hash32
 from millrace.operators.quality import label_columns, require_columns
+from millrace.operators.trees import DecisionTreeClassifier, RandomForestClassifier
 
 # Seed, iterations, trees, tree grid, alpha ranges
 SEED = 42
