@@ -17,14 +17,14 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.gram import collect_gram, grams_by
 from millrace.functions.hashing import hash32
 from millrace.operators.quality import label_columns, require_columns
-from millrace.operators.trees import DecisionTreeClassifier, RandomForestClassifier
+from millrace.operators.trees import CrossValidator, DecisionTreeClassifier, RandomForestClassifier
 
 # Seed, iterations, trees, tree grid, alpha ranges
 SEED = 42

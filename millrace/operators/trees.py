@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import classification as ml
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator as SparkCrossValidator
 from pyspark.ml.tuning import CrossValidatorModel
@@ -742,4 +743,43 @@ def _tried(strategy: str, width: int, trees: int) -> int | None:
     return names.get(strategy)
 
 
+
+class CrossValidator(SparkCrossValidator):
+    """Spark's search. A tree grows the same way whatever its greatest depth, so points that differ only in it are one tree
+    per fold, judged at each depth; the trees of a fold grow together, and held-out rows are scored where they lie."""
+
+    FREE = {"maxDepth", "impurity", "minInstancesPerNode", "minInfoGain", "minWeightFractionPerNode"}
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        tree, points, evaluator, fold = self.getEstimator(), self.getEstimatorParamMaps(), self.getEvaluator(), self.getFoldCol()
+        known = (
+            isinstance(tree, DecisionTreeClassifier) and isinstance(evaluator, MulticlassClassificationEvaluator) and fold
+            and evaluator.getMetricName() == "recallByLabel" and not (evaluator.isDefined("weightCol") and evaluator.getWeightCol())
+            and evaluator.getLabelCol() == tree.getLabelCol() and evaluator.getPredictionCol() == tree.getPredictionCol()
+            and not self.getCollectSubModels() and all(p.name in self.FREE for point in points for p in point)
+        )
+        if not known:
+            return super()._fit(dataset)
+        settings = [{name: tree.getOrDefault(name) for name in self.FREE} | {p.name: v for p, v in point.items()} for point in points]
+        alike = [tuple(sorted((n, v) for n, v in s.items() if n != "maxDepth")) for s in settings]
+        groups, cuts = sorted(set(alike)), sorted({s["maxDepth"] for s in settings})
+        inputs = [tree.getFeaturesCol(), tree.getLabelCol(), *filter(None, [_weight_column(tree)])]
+        rows = settle(dataset.select(*inputs, F.col(fold).alias("fold_")).filter("fold_ IS NOT NULL"), "folds")
+        label, scores = int(evaluator.getMetricLabel()), []
+        for k in range(self.getNumFolds()):
+            data = _binned_for(tree, rows.select(*inputs, (F.col("fold_") == k).alias("held_")), "held_")
+            if data is None:
+                return super()._fit(dataset)
+            grown = [_settings(tree, data, **dict(g), maxDepth=max(s["maxDepth"] for s, a in zip(settings, alike, strict=True) if a == g)) for g in groups]
+            counts = grow(data, grown, cuts=cuts).astype(float)
+            if label >= data.classes or not counts[0, 0, label].sum():
+                raise ValueError(f"fold {k} has no held-out row of class {label}")
+            recall = counts[:, :, label, label] / counts[:, :, label].sum(-1)
+            scores.append([recall[groups.index(a), cuts.index(s["maxDepth"])] for s, a in zip(settings, alike, strict=True)])
+        mean, spread = np.mean(scores, 0), np.std(scores, 0)
+        best = points[int(mean.argmax() if evaluator.isLargerBetter() else mean.argmin())]
+        model = tree.fit(dataset, best)
+        return self._copyValues(CrossValidatorModel(model, mean.tolist(), [], spread.tolist()))
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have the library

@@ -64,3 +64,27 @@ def test_thresholds_of_many_values_come_from_all_rows(spark):
     many, few, one = tr.thresholds(rows, 3, 32)
     assert np.abs(many - np.arange(1, 32) * 50_000 / 32).max() < 50_000 / 500
     assert few.tolist() == [0.5, 1.5] and len(one) == 0
+
+
+@pytest.mark.parametrize("handed", [50, 10_000])
+def test_grid_is_sparks(noisy, monkeypatch, handed):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    folds = noisy.selectExpr("f", "y", "cast(id % 3 as int) fold")
+
+    def search(kind, learner):
+        tree = learner(featuresCol="f", labelCol="y")
+        grid = ParamGridBuilder().addGrid(tree.impurity, ["gini", "entropy"]).addGrid(tree.maxDepth, [1, 3, 6]).addGrid(tree.minInstancesPerNode, [1, 20]).build()
+        recall = MulticlassClassificationEvaluator(labelCol="y", metricName="recallByLabel", metricLabel=1.0)
+        return kind(estimator=tree, estimatorParamMaps=grid, evaluator=recall, numFolds=3, foldCol="fold").fit(folds)
+
+    want = search(CrossValidator, ml.DecisionTreeClassifier)
+    monkeypatch.setattr(tr, "LEAST_HANDED", handed)
+    monkeypatch.setattr(ml.DecisionTreeClassifier, "_fit", refuse)
+    fits, known = [], tr.grow
+    monkeypatch.setattr(tr, "grow", lambda data, trees, **o: fits.append(len(trees)) or known(data, trees, **o))
+    got = search(md.CrossValidator, md.DecisionTreeClassifier)
+    assert np.allclose(got.avgMetrics, want.avgMetrics) and np.allclose(got.stdMetrics, want.stdMetrics)
+    assert got.bestModel.toDebugString.split("\n", 1)[1] == want.bestModel.toDebugString.split("\n", 1)[1]
+    assert fits == [4, 4, 4, 1]
