@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,6 +25,7 @@ from millrace.functions.gram import collect_gram, grams_by
 from millrace.functions.hashing import hash32
 from millrace.operators.quality import label_columns, require_columns
 from millrace.operators.trees import CrossValidator, DecisionTreeClassifier, RandomForestClassifier
+from millrace.operators.waves import LinearSVC
 
 # Seed, iterations, trees, tree grid, alpha ranges
 SEED = 42
@@ -181,21 +182,25 @@ def fit_rff_svm(
 ) -> FourierSvm:
     """``gamma`` applies to standardised features; without it, it is 1 / features (their variance is one).
 
-    Mean and deviation are folded into the frequencies and offsets, so scoring reads the raw columns.
+    Mean and deviation are folded into the frequencies and offsets, so fitting and scoring read the raw columns; the
+    features themselves are never kept.
     """
     clean = as_doubles(df, features).dropna(subset=[*features, y])
     stats = [F.avg(f).alias(f"m{i}") for i, f in enumerate(features)]
     stats += [F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]
-    row = clean.agg(*stats).first()
+    row = clean.agg(F.count(F.lit(1)).alias("n"), *stats).first()
     mean = np.array([row[f"m{i}"] for i in range(len(features))])
     width = np.array([row[f"s{i}"] or 1.0 for i in range(len(features))])
     gamma = 1.0 / len(features) if gamma is None else gamma
     rng = np.random.default_rng(SEED)
     weights = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, len(features))) / width
     offsets = rng.uniform(0.0, 2.0 * math.pi, d) - weights @ mean
-    waves = fourier_features(clean, features, weights, offsets)
-    model = _fit(_margin_stages("waves", y, reg, max_iter), waves)
-    return FourierSvm(tuple(features), weights, offsets, model)
+    svm, *stages = _margin_stages("waves", y, reg, max_iter)
+    rows = clean.select(*features, y)
+    sides = svm.fit_waves(spread(rows, row["n"]), features, weights, offsets)
+    margins = sides.transform(fourier_features(rows, features, weights, offsets)).select("margins", y)
+    rest = _fit(stages, margins, row["n"])
+    return FourierSvm(tuple(features), weights, offsets, PipelineModel([sides, *rest.stages]))
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], y: str, depth: int = DEEPEST) -> PipelineModel:
