@@ -38,6 +38,7 @@ LASSO_ALPHAS = np.logspace(-4, 2, 50)
 FINE_STEPS = 30
 LEAST_ALPHA = 1e-4
 MEDIAN_ERROR = 0.001
+KEPT = 2 << 30  # bytes of random features that a fit may keep; more are made anew in every pass
 ROWS_PER_TASK = 500_000  # training rows of one task; a forest keeps 4 bytes a row and tree with them
 
 
@@ -183,7 +184,7 @@ def fit_rff_svm(
     """``gamma`` applies to standardised features; without it, it is 1 / features (their variance is one).
 
     Mean and deviation are folded into the frequencies and offsets, so fitting and scoring read the raw columns; the
-    features themselves are never kept.
+    features themselves are not kept beyond KEPT bytes.
     """
     clean = as_doubles(df, features).dropna(subset=[*features, y])
     stats = [F.avg(f).alias(f"m{i}") for i, f in enumerate(features)]
@@ -195,6 +196,9 @@ def fit_rff_svm(
     rng = np.random.default_rng(SEED)
     weights = rng.normal(0.0, math.sqrt(2.0 * gamma), (d, len(features))) / width
     offsets = rng.uniform(0.0, 2.0 * math.pi, d) - weights @ mean
+    if row["n"] * d * 8 <= KEPT:
+        model = _fit(_margin_stages("waves", y, reg, max_iter), fourier_features(clean, features, weights, offsets), row["n"])
+        return FourierSvm(tuple(features), weights, offsets, model)
     svm, *stages = _margin_stages("waves", y, reg, max_iter)
     rows = clean.select(*features, y)
     sides = svm.fit_waves(spread(rows, row["n"]), features, weights, offsets)

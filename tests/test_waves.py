@@ -36,6 +36,7 @@ def test_least_loss_is_sparks(ring):
 def test_no_vector_is_kept(ring, monkeypatch):
     """Spark's fit would keep 8 bytes a wave and row; the fit writes blocks of the raw columns and nothing else."""
     df, written, settle = ring[0], [], wv.settle
+    monkeypatch.setattr(md, "KEPT", 0)
     monkeypatch.setattr(ml.LinearSVC, "_fit", lambda *_: pytest.fail("the vectors would be kept"))
     monkeypatch.setattr(wv, "settle", lambda d, *a: written.append(settle(d, *a)) or written[-1])
     model = md.fit_rff_svm(df, ["a", "b"], "y", d=24, max_iter=5)
